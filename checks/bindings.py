@@ -89,8 +89,11 @@ RETAIL = {
     "household_demographics": "SELECT c_custkey AS hd_demo_sk, c_custkey % 10 AS hd_dep_count FROM customer",
     "store": """
   SELECT s_suppkey AS s_store_sk, s_name AS s_store_id,
-         CASE s_suppkey % 6 WHEN 0 THEN 'The' WHEN 1 THEN 'keit' WHEN 2 THEN 'mente'
-                            WHEN 3 THEN 'eau' WHEN 4 THEN 'Orre' ELSE 'zzyzx' END AS s_store_name,
+         CASE WHEN s_suppkey % 7 = 3 THEN 'Of ' ELSE '' END
+         || ['Th', 'Er', 'On', 'An', 'Re', 'He', 'In', 'Ed', 'Nd', 'Ha'][s_suppkey % 10 + 1]
+         || ['the', 'ing', 'ion', 'ent', 'ati', 'hat', 'ter', 'was', 'est', 'ers'][s_suppkey // 10 % 10 + 1]
+         || CASE WHEN s_suppkey < 100 THEN '' ELSE
+              ['th', 'er', 'on', 'an', 're', 'he', 'in', 'ed', 'nd', 'ha'][s_suppkey // 100 % 10 + 1] END AS s_store_name,
          gmt_offset AS s_gmt_offset
   FROM supplier JOIN places ON s_nationkey = n_nationkey""",
     "warehouse": """

@@ -48,7 +48,7 @@ def _week_returns(table: str, p: str) -> str:
       SELECT {p}_item_sk AS item_sk, sum({p}_return_quantity) AS quantity
       FROM {table} JOIN date_dim d1 ON {p}_returned_date_sk = d1.d_date_sk
       JOIN date_dim d2 ON d1.d_week_seq = d2.d_week_seq
-      WHERE d2.d_date IN ('1997-03-10', '1997-03-12', '1998-08-03', '1999-11-15', '2000-12-18')
+      JOIN listed ON d2.d_date = listed.date
       GROUP BY {p}_item_sk HAVING sum({p}_return_quantity) > 0"""
 
 
@@ -140,7 +140,7 @@ SQL = {
     "q01_items_sold_together": """
   WITH basket AS (
     SELECT DISTINCT ss_ticket_number AS ticket, ss_item_sk AS item
-    FROM store_sales JOIN item ON i_item_sk = ss_item_sk WHERE ss_store_sk < 100)
+    FROM store_sales JOIN item ON i_item_sk = ss_item_sk WHERE ss_store_sk < 1000)
   SELECT a.item AS item_sk_1, b.item AS item_sk_2, count(*) AS cnt
   FROM basket a JOIN basket b ON a.ticket = b.ticket AND a.item < b.item
   GROUP BY ALL HAVING count(*) > 1 ORDER BY cnt DESC, item_sk_1, item_sk_2 LIMIT 100""",
@@ -268,11 +268,15 @@ SQL = {
   JOIN (SELECT pr_review_sk, review_sentence, sentiment, sentiment_word FROM sentiment WHERE sentiment = 'NEG')
     USING (pr_review_sk)""",
     "q19_bad_words_on_returned_items": f"""
+  WITH listed AS (
+    SELECT strftime(make_date(y, m, d), '%Y-%m-%d') AS date
+    FROM range(1995, 2002) AS years(y), range(1, 13) AS months(m), (VALUES (10), (24)) AS days(d)
+    UNION ALL SELECT '1997-03-12')
   SELECT pr_item_sk AS item_sk, review_sentence, sentiment, sentiment_word FROM sentiment
   WHERE sentiment = 'NEG' AND pr_item_sk IN (
     SELECT s.item_sk FROM ({_week_returns('store_returns', 'sr')}) s
     JOIN ({_week_returns('web_returns', 'wr')}) w ON s.item_sk = w.item_sk
-    WHERE abs((s.quantity - w.quantity) / ((s.quantity + w.quantity) / 2)) <= 0.5)""",
+    WHERE abs((s.quantity - w.quantity) / ((s.quantity + w.quantity) / 2)) <= 0.1)""",
     "q20_return_features": RETURN_FEATURES,
     "q21_returned_and_rebought": BOUGHT_AGAIN.format(where="""
   JOIN date_dim d1 ON ss_sold_date_sk = d1.d_date_sk AND d1.d_year = 1996 AND d1.d_moy = 2

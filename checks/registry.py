@@ -23,7 +23,10 @@ ITEM = 69
 ALL_DAYS = ("1995-01-01", "2001-12-31")
 LEXICON = [("er", "NEG"), ("that", "NEG"), ("den", "NEG"), ("la", "POS"), ("with", "POS")]
 KNOWN_NAMES = ["The", "That", "Orre Orre", "Ernt", "Eaux"]
-RETURN_DATES = ("1997-03-10", "1997-03-12", "1998-08-03", "1999-11-15", "2000-12-18")
+# Two days a month, and two days of one week, which then counts twice.
+RETURN_DATES = [f"{y}-{m:02}-{d}" for y in range(1995, 2002) for m in range(1, 13) for d in (10, 24)] + [
+    "1997-03-12"
+]
 BUYERS = (
     BuyerBand("M", "BUILDING", 900, 1500),
     BuyerBand("S", "MACHINERY", 1000, 2200),
@@ -213,7 +216,7 @@ def _per_market(t) -> DataFrame:
 BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
     # the queries
     "q00_sales_by_category": lambda t: plans.q00(t),
-    "q01_items_sold_together": lambda t: plans.q01(t, category_ids=range(1, 9), stores=range(100), min_count=1),
+    "q01_items_sold_together": lambda t: plans.q01(t, category_ids=range(1, 9), stores=range(1000), min_count=1),
     "q02_items_viewed_together": lambda t: plans.q02(t, item_sk=ITEM, timeout=SESSION_GAP),
     "q03_views_before_purchase": lambda t: plans.q03(t, purchased_item=ITEM, category_ids=(1, 2, 3, 4)),
     "q04_abandoned_carts": lambda t: plans.q04(t, timeout=SESSION_GAP),
@@ -233,7 +236,7 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
     "q17_promoted_share": lambda t: plans.q17(t, year=1996, categories=("PROMO", "SMALL")),
     "q18_bad_words_on_falling_stores": lambda t: plans.q18(t, start="1997-01-01", end="1999-12-31", lexicon=_lexicon(t)),
     "q19_bad_words_on_returned_items": lambda t: plans.q19(
-        t, store_dates=RETURN_DATES, web_dates=RETURN_DATES, tolerance=0.5, lexicon=_lexicon(t)),
+        t, store_dates=RETURN_DATES, web_dates=RETURN_DATES, tolerance=0.1, lexicon=_lexicon(t)),
     "q20_return_features": lambda t: plans.q20_features(t),
     "q20_return_clusters": lambda t: plans.q20(t).assignments,
     "q20_return_cluster_centers": _cluster_centers,

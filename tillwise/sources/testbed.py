@@ -20,7 +20,9 @@ CALENDAR = (7305, 14610)  # 1990-01-01 and the number of days from there
 CATEGORIES = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "SMALL": 4, "STANDARD": 5, "PROMO": 8}
 PAGE_TYPES = ["dynamic", "order", "review", "purchase", "error"]
 EVENT_PAGES = {"click": 1, "signup": 2, "view": 3, "purchase": 4, "error": 5}
-STORE_NAMES = ["The", "keit", "mente", "eau", "Orre", "zzyzx"]
+# Store names are put together from syllables that occur in the documents.
+FIRST = "Th Er On An Re He In Ed Nd Ha".split()
+MIDDLE = "the ing ion ent ati hat ter was est ers".split()
 
 
 def _day(column: str) -> Column:
@@ -45,6 +47,12 @@ class TestbedTables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _spread(self, rows: DataFrame, key: str) -> DataFrame:
+        """The rows over all cores where their files make fewer splits than there are
+        cores, as a small file with a single row group does."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+
     def _lines(self, status: str) -> DataFrame:
         """Order lines of one channel with exact money columns."""
         price = F.col("l_extendedprice").cast(MONEY)
@@ -242,13 +250,20 @@ class TestbedTables:
         )
 
     def _store(self) -> DataFrame:
+        sk = F.col("s_suppkey")
+        name = F.concat(
+            F.when(sk % 7 == 3, "Of ").otherwise(""),
+            _lookup(FIRST, sk % 10),
+            _lookup(MIDDLE, F.floor(sk / 10) % 10),
+            F.when(sk < 100, "").otherwise(F.lower(_lookup(FIRST, F.floor(sk / 100) % 10))),
+        )
         return (
             self.raw("supplier")
             .join(self._places(), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
                 F.col("s_suppkey").alias("s_store_sk"),
                 F.col("s_name").alias("s_store_id"),
-                _lookup(STORE_NAMES, F.col("s_suppkey") % len(STORE_NAMES)).alias("s_store_name"),
+                name.alias("s_store_name"),
                 F.col("gmt_offset").alias("s_gmt_offset"),
             )
         )
@@ -309,7 +324,7 @@ class TestbedTables:
         )
         days = (F.lit(9862) + F.col("doc_id") % 365).cast("int")
         return (
-            self.raw("documents")
+            self._spread(self.raw("documents"), "doc_id")
             .join(self.raw("labels"), "doc_id", "left")
             .select(
                 F.col("doc_id").alias("pr_review_sk"),
