@@ -272,7 +272,7 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
         t["product_reviews"], keep=["pr_review_sk"], text="pr_review_content"),
     "find_known_company": lambda t: text.find_company(
         t["product_reviews"], keep=["pr_review_sk"], text="pr_review_content", known=_known(t)),
-    "mentions": lambda t: _mentions(t, 256),
+    "mentions": lambda t: _mentions(t, 10000),
     "mentions_by_vocabulary": lambda t: _mentions(t, 2),
     "linear_fit": _fit,
     "declining_stores": lambda t: declining_stores(t, "1997-01-01", "1999-12-31"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillwise.functions.expressions import make_pairs
+from tillwise.session import durable
 
 
 def pair_counts_small_domain(rows: DataFrame, *, basket: list[str], item: str) -> DataFrame:
@@ -46,57 +47,69 @@ def frequent_pairs(
       pairs found there: each item has a bit per huge basket holding it;
     * any other basket of more than ``block`` items is cut into blocks, and each pair
       of blocks is a group of its own, so no group outgrows two blocks.
+
+    The items left after the first step and the list of large baskets are written to
+    the checkpoint folder, since several steps read them.
     """
-    rows = rows.select(basket, item).filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
-    rows = rows.distinct()
+    rows = rows.select(F.col(basket).alias("basket"), F.col(item).alias("item")).dropna().distinct()
     if min_count > 0:
-        frequent = rows.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > min_count)
-        rows = rows.join(frequent.select(item), item, "left_semi")
+        frequent = rows.groupBy("item").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > min_count)
+        rows = rows.join(frequent, "item", "left_semi")
+    rows = durable(rows)
+    sizes = rows.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
+    large = durable(sizes.filter(F.col("size") > block))
+    if large.isEmpty():
+        cut = rows.select("basket", "item", *[F.lit(0).alias(c) for c in ("own", "low", "high")])
+        return _count_pairs(cut).filter(F.col("cnt") > min_count)
 
-    large = (
-        rows.groupBy(basket)
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .filter(F.col("_size") > block)
+    hugest = _hugest(large, huge, min(min_count, 62))
+    pairs = _count_pairs(_cut(rows.join(hugest, "basket", "left_anti"), large, block))
+    masks = rows.join(hugest, "basket").groupBy("item").agg(F.bit_or("bit").alias("mask"))
+    both = F.coalesce(F.col("_l.mask").bitwiseAND(F.col("_r.mask")), F.lit(0).cast("long"))
+    return (
+        pairs.join(masks.alias("_l"), F.col("left") == F.col("_l.item"), "left")
+        .join(masks.alias("_r"), F.col("right") == F.col("_r.item"), "left")
+        .select("left", "right", (F.col("cnt") + F.bit_count(both)).alias("cnt"))
+        .filter(F.col("cnt") > min_count)
     )
-    masks = None
-    if min_count > 0:
-        # At most 62 rows from here on, one bit of a long each.
-        rank = Window.orderBy(F.desc("_size"), F.col(basket))
-        hugest = (
-            large.filter(F.col("_size") > huge)
-            .orderBy(F.desc("_size"), F.col(basket))
-            .limit(min(min_count, 62))
-            .withColumn("_bit", F.row_number().over(rank) - 1)
-            .select(basket, F.expr("shiftleft(1L, _bit)").alias("_bit"))
-        )
-        masks = rows.join(hugest, basket).groupBy(item).agg(F.bit_or("_bit").alias("_mask"))
-        rows = rows.join(hugest.select(basket), basket, "left_anti")
-
-    cuts = large.select(basket, F.ceil(F.col("_size") / block).cast("int").alias("_cuts"))
-    pairs = (
-        rows.join(cuts, basket, "left")
+
+
+def _hugest(large: DataFrame, huge: int, most: int) -> DataFrame:
+    """(basket, bit) of the biggest baskets, at most 62 rows: one bit of a long each."""
+    order = [F.desc("size"), F.col("basket")]
+    return (
+        large.filter(F.col("size") > huge)
+        .orderBy(*order)
+        .limit(most)
+        .withColumn("_place", F.row_number().over(Window.orderBy(*order)) - 1)
+        .select("basket", F.expr("shiftleft(1L, _place)").alias("bit"))
+    )
+
+
+def _cut(rows: DataFrame, large: DataFrame, block: int) -> DataFrame:
+    """Cut large baskets: every item goes to all pairs of blocks that include its own."""
+    cuts = large.select("basket", F.ceil(F.col("size") / block).cast("int").alias("_cuts"))
+    return (
+        rows.join(cuts, "basket", "left")
         .withColumn("_cuts", F.coalesce("_cuts", F.lit(1)))
-        .withColumn("_own", F.pmod(F.xxhash64(item), F.col("_cuts")).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("item"), F.col("_cuts")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)))
-        .withColumn("_low", F.least("_own", "_other"))
-        .withColumn("_high", F.greatest("_own", "_other"))
-        .groupBy(basket, "_low", "_high")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col(item).alias("item"), F.col("_own").alias("own")))).alias("_items"))
-        .filter(F.size("_items") > 1)
-        .select("_low", "_high", F.explode(make_pairs(F.col("_items"))).alias("_pair"))
-        # Between two blocks, pairs inside one of them belong to another group.
-        .filter((F.col("_low") == F.col("_high")) | (F.col("_pair.left.own") != F.col("_pair.right.own")))
-        .groupBy(F.col("_pair.left.item").alias("left"), F.col("_pair.right.item").alias("right"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
+        .withColumn("low", F.least("own", "_other"))
+        .withColumn("high", F.greatest("own", "_other"))
     )
-    if masks is None:
-        return pairs
+
+
+def _count_pairs(cut: DataFrame) -> DataFrame:
+    items = F.sort_array(F.collect_list(F.struct("item", "own")))
     return (
-        pairs.join(masks.select(F.col(item).alias("left"), F.col("_mask").alias("_lm")), "left", "left")
-        .join(masks.select(F.col(item).alias("right"), F.col("_mask").alias("_rm")), "right", "left")
-        .withColumn("_both", F.coalesce(F.col("_lm").bitwiseAND(F.col("_rm")), F.lit(0).cast("long")))
-        .select("left", "right", (F.col("cnt") + F.bit_count("_both")).alias("cnt"))
-        .filter(F.col("cnt") > min_count)
+        cut.groupBy("basket", "low", "high")
+        .agg(items.alias("items"))
+        .filter(F.size("items") > 1)
+        .select("low", "high", F.explode(make_pairs(F.col("items"))).alias("pair"))
+        # Between two blocks, pairs inside one of them belong to another group.
+        .filter((F.col("low") == F.col("high")) | (F.col("pair.left.own") != F.col("pair.right.own")))
+        .groupBy(F.col("pair.left.item").alias("left"), F.col("pair.right.item").alias("right"))
+        .agg(F.count(F.lit(1)).alias("cnt"))
     )
 
 

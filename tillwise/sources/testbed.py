@@ -29,6 +29,10 @@ def _day(column: str) -> Column:
     return F.unix_date(F.to_date(F.col(column))).cast("long")
 
 
+def _money(cents: Column) -> Column:
+    return (cents / 100).cast(MONEY)
+
+
 def _lookup(values: list[str], position: Column) -> Column:
     """The value at a 0-based position of a short fixed list."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
@@ -54,26 +58,25 @@ class TestbedTables:
         return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
 
     def _lines(self, status: str) -> DataFrame:
-        """Order lines of one channel with exact money columns."""
-        price = F.col("l_extendedprice").cast(MONEY)
+        """Order lines of one channel. Money is worked out in whole cents."""
+        cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+        percent = F.round(F.col("l_discount") * 100).cast("long")
         quantity = F.col("l_quantity").cast("int")
-        discount = (price * F.col("l_discount").cast("decimal(4,2)")).cast(MONEY)
-        cents = (price * 100).cast("long")
-        each = F.floor(cents / quantity).cast("decimal(12,0)") * Decimal("0.01")
-        cost = (price * Decimal("0.6")).cast(MONEY)
+        discount = F.expr("(cents * percent + 50) div 100")
+        cost = F.expr("(cents * 6 + 5) div 10")
         return (
             self.raw("lineitem")
             .filter(F.col("l_linestatus") == status)
+            .withColumns({"cents": cents, "percent": percent, "quantity": quantity})
             .select(
                 "*",
-                quantity.alias("quantity"),
-                price.alias("price"),
-                each.cast(MONEY).alias("unit_price"),
-                discount.alias("discount"),
-                cost.alias("cost"),
-                (price + discount).cast(MONEY).alias("list_price"),
-                (price - discount).cast(MONEY).alias("paid"),
-                (price - discount - cost).cast(MONEY).alias("profit"),
+                _money(F.col("cents")).alias("price"),
+                _money(F.expr("cents div quantity")).alias("unit_price"),
+                _money(discount).alias("discount"),
+                _money(cost).alias("cost"),
+                _money(F.col("cents") + discount).alias("list_price"),
+                _money(F.col("cents") - discount).alias("paid"),
+                _money(F.col("cents") - discount - cost).alias("profit"),
             )
         )
 
@@ -89,7 +92,7 @@ class TestbedTables:
             F.col("o_custkey").alias("ss_cdemo_sk"),
             F.col("o_custkey").alias("ss_addr_sk"),
             F.col("l_suppkey").alias("ss_store_sk"),
-            F.round(F.col("l_discount") * 100).cast("long").alias("ss_promo_sk"),
+            F.col("percent").alias("ss_promo_sk"),
             F.col("l_orderkey").alias("ss_ticket_number"),
             F.col("quantity").alias("ss_quantity"),
             F.col("unit_price").alias("ss_sales_price"),
