@@ -114,7 +114,7 @@ FREE_NAME = "NOT (starts_with(review_sentence, company_name) AND NOT contains(co
 
 MENTIONED = """
   SELECT pr_review_sk, name
-  FROM product_reviews JOIN (SELECT DISTINCT lower(s_store_name) AS name FROM store)
+  FROM product_reviews JOIN (SELECT DISTINCT lower({name}) AS name FROM store {group})
     ON contains(lower(pr_review_content), name)"""
 
 RETURN_FEATURES = """
@@ -373,8 +373,8 @@ SQL = {
     "find_known_company": f"""
   SELECT pr_review_sk, company_name, review_sentence FROM ({NAMES})
   WHERE lower(company_name) IN ('the', 'that', 'orre orre', 'ernt', 'eaux')""",
-    "mentions": MENTIONED,
-    "mentions_by_vocabulary": MENTIONED,
+    "mentions": MENTIONED.format(name="min(s_store_name)", group="GROUP BY substr(s_store_name, 1, 1)"),
+    "mentions_by_vocabulary": MENTIONED.format(name="s_store_name", group=""),
     "linear_fit": f"""
   SELECT ss_store_sk, round(slope, 5) AS slope, round(intercept, 3) AS intercept
   FROM ({_fit('''SELECT ss_store_sk, ss_sold_date_sk AS day, CAST(sum(ss_net_paid) * 100 AS HUGEINT) AS cents

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Catalyst broadcasts a side only while its estimated size is below this.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # The JVM does not compile longer methods; generated code beyond that runs slowly.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -30,26 +33,27 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    It is the one named by ``spark.checkpoint.dir``. Only a local master, where
-    driver and executors share one disk, falls back to a temporary folder.
+    Only a local master, where driver and executors share one disk, falls back to a
+    temporary folder of its own.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not sc.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="tillwise-checkpoint-")
-    sc.setCheckpointDir(named)
-    return named
+        named = tempfile.mkdtemp(prefix="tillwise-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder, so later passes neither recompute
-    it nor lose it with an executor."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the checkpoint folder and read it from there.
+
+    Later steps neither recompute it nor lose it with an executor, and Catalyst knows
+    its true size, so it broadcasts the table only if it is small.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
