@@ -133,6 +133,14 @@ CUSTOMERS_WITH_GAPS = """
   (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal,
           CASE WHEN c_nationkey % 4 <> 0 THEN CAST(c_nationkey AS BIGINT) END AS c_nationkey FROM customer)"""
 
+ABANDONED = f"""
+  SELECT wcs_user_sk, session_no, count(*) AS pagecount
+  FROM (SELECT *, row_number() OVER (PARTITION BY wcs_user_sk, session_no ORDER BY ts, wp_type) AS pos
+        FROM ({SESSIONS.format(clicks="clicks")}))
+  GROUP BY wcs_user_sk, session_no
+  HAVING coalesce(max(pos) FILTER (WHERE wp_type = 'dynamic'), -1)
+       > coalesce(max(pos) FILTER (WHERE wp_type = 'order'), -1)"""
+
 SQL = {
     "q00_sales_by_category": """
   SELECT i_category, count(*) AS cnt FROM store_sales JOIN item ON i_item_sk = ss_item_sk
@@ -350,13 +358,8 @@ SQL = {
   SELECT wcs_user_sk, ts, wcs_item_sk, CAST(session_no AS BIGINT) AS session_no,
          wcs_user_sk || '_' || session_no AS session_id FROM ({SESSIONS.format(clicks="clicks")})""",
     "last_views_before_purchase": f"WITH {_last_views(7, 432000)} SELECT * FROM seen",
-    "abandoned_sessions": f"""
-  WITH numbered AS (
-    SELECT *, row_number() OVER (PARTITION BY wcs_user_sk, session_no ORDER BY ts, wp_type) AS pos
-    FROM ({SESSIONS.format(clicks="clicks")}))
-  SELECT wcs_user_sk || '_' || session_no AS session_id, count(*) AS pagecount FROM numbered
-  GROUP BY wcs_user_sk, session_no
-  HAVING coalesce(max(pos) FILTER (WHERE wp_type = 'dynamic'), -1) > coalesce(max(pos) FILTER (WHERE wp_type = 'order'), -1)""",
+    "abandoned_sessions": f"SELECT wcs_user_sk || '_' || session_no AS session_id, pagecount FROM ({ABANDONED})",
+    "abandoned_carts": f"SELECT wcs_user_sk, CAST(session_no AS BIGINT) AS session_no, pagecount FROM ({ABANDONED})",
     "sales_after_page": _after_review("clicks", 21600),
     "make_pairs": """
   WITH used AS (SELECT DISTINCT ws_order_number, ws_warehouse_sk AS w FROM web_sales)

@@ -269,6 +269,8 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
         purchased=ITEM, within_seconds=432000, views=7),
     "abandoned_sessions": lambda t: clicks.abandoned_sessions(
         _sessions(t), session=["session_id"], ts="ts", page_type="wp_type"),
+    "abandoned_carts": lambda t: clicks.abandoned_carts(
+        _typed_clicks(t), user="wcs_user_sk", ts="ts", page_type="wp_type", timeout=SESSION_GAP),
     "sales_after_page": lambda t: clicks.sales_after_page(
         _typed_clicks(t), user="wcs_user_sk", ts="ts", sale="wcs_sales_sk", page_type="wp_type",
         wanted="review", within_seconds=SESSION_GAP),

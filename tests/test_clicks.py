@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwise.streaming import (
+    abandoned_carts,
     abandoned_sessions,
     last_views_before_purchase,
     sales_after_page,
+    session_totals,
     sessionize,
 )
 
@@ -171,12 +173,25 @@ def test_abandoned_sessions(spark):
     assert rows(found, "session", "pagecount") == [(1, 2), (3, 3)]
 
 
-def test_one_shuffle_of_the_clicks(spark):
-    """The clicks are shuffled once; the other exchanges carry one row per chunk."""
-    df = spark.range(1000).select(
-        (F.col("id") % 7).alias("user"), F.col("id").alias("ts"), F.col("id").alias("item")
+@pytest.mark.parametrize("chunk", [5, 64, 10**6])
+def test_abandoned_carts_equal_abandoned_sessions(spark, chunk):
+    df = spark.createDataFrame(random_clicks(4), CLICKS)
+    sessions = sessionize(df, user="user", ts="ts", timeout=20)
+    expected = abandoned_sessions(sessions, session=["user", "session_no"], ts="ts", page_type="page")
+    found = abandoned_carts(df, user="user", ts="ts", page_type="page", timeout=20, chunk_seconds=chunk)
+    columns = ("user", "session_no", "pagecount")
+    assert rows(found, *columns) == rows(expected, *columns) != []
+
+
+def test_session_totals_shuffle_the_clicks_once(spark):
+    """One exchange of clicks by user and chunk, one of session parts by user."""
+    df = spark.createDataFrame(random_clicks(5), CLICKS)
+    found = session_totals(
+        df, user="user", ts="ts", timeout=20,
+        partial=[F.count(F.lit(1)).alias("n")], merge=[F.sum("n").alias("n")],
     )
-    found = sessionize(df, user="user", ts="ts", timeout=3, chunk_seconds=50)
-    found.collect()
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan
+    assert sum(r["n"] for r in found.collect()) == 600
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 2

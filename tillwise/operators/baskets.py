@@ -10,25 +10,31 @@ from tillwise.functions.expressions import make_pairs
 from tillwise.session import durable
 
 
-def pair_counts_small_domain(rows: DataFrame, *, basket: list[str], item: str) -> DataFrame:
-    """(left, right, cnt) where the items are a short list such as categories.
+def pair_counts_of_sets(baskets: DataFrame, items: str) -> DataFrame:
+    """(left, right, cnt) from one sorted array of distinct items per basket, for items
+    out of a short list such as categories.
 
-    Baskets with equal content are counted first, so pairs are made once per
-    distinct set of items and not once per basket.
+    Baskets with equal content are counted first, so pairs are made once per distinct
+    set of items and not once per basket.
     """
     return (
-        rows.filter(F.col(item).isNotNull())
-        .groupBy(*basket)
-        .agg(F.sort_array(F.collect_set(item)).alias("_items"))
-        .filter(F.size("_items") > 1)
-        .groupBy("_items")
+        baskets.filter(F.size(items) > 1)
+        .groupBy(items)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_n", F.explode(make_pairs(F.col("_items"))).alias("_pair"))
+        .select("_n", F.explode(make_pairs(F.col(items))).alias("_pair"))
         .groupBy(F.col("_pair.left").alias("left"), F.col("_pair.right").alias("right"))
         .agg(F.sum("_n").alias("cnt"))
     )
 
 
+def pair_counts_small_domain(rows: DataFrame, *, basket: list[str], item: str) -> DataFrame:
+    """``pair_counts_of_sets`` from rows of baskets."""
+    sets = rows.filter(F.col(item).isNotNull()).groupBy(*basket).agg(
+        F.sort_array(F.collect_set(item)).alias("_items")
+    )
+    return pair_counts_of_sets(sets, "_items")
+
+
 def frequent_pairs(
     rows: DataFrame,
     *,

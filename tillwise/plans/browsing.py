@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.expressions import virtual_seconds
-from tillwise.operators.baskets import pair_counts_small_domain, seen_with
+from tillwise.operators.baskets import pair_counts_of_sets, seen_with
 from tillwise.plans.baskets import top_category_pairs
 from tillwise.streaming.clicks import (
-    abandoned_sessions,
+    abandoned_carts,
     last_views_before_purchase,
     sales_after_page,
+    session_totals,
     sessionize,
 )
 
@@ -80,8 +81,8 @@ def q04(t, *, timeout=3600) -> DataFrame:
         .join(t["web_page"], F.col("wcs_web_page_sk") == F.col("wp_web_page_sk"))
         .select(USER, TS, "wp_type")
     )
-    sessions = sessionize(clicks, user=USER, ts=TS, timeout=timeout)
-    return abandoned_sessions(sessions, session=SESSION, ts=TS, page_type="wp_type").agg(
+    carts = abandoned_carts(clicks, user=USER, ts=TS, page_type="wp_type", timeout=timeout)
+    return carts.agg(
         F.avg("pagecount").cast("decimal(20,1)").alias("averageNumberOfPages")
     )
 
@@ -166,6 +167,12 @@ def q30(t, *, timeout=3600, limit=100) -> DataFrame:
         .filter(F.col("i_category_id").isNotNull())
         .select(USER, TS, "i_category_id")
     )
-    sessions = sessionize(clicks, user=USER, ts=TS, timeout=timeout)
-    pairs = pair_counts_small_domain(sessions, basket=SESSION, item="i_category_id")
-    return top_category_pairs(pairs, limit)
+    sessions = session_totals(
+        clicks,
+        user=USER,
+        ts=TS,
+        timeout=timeout,
+        partial=[F.collect_set("i_category_id").alias("part")],
+        merge=[F.sort_array(F.array_distinct(F.flatten(F.collect_list("part")))).alias("categories")],
+    )
+    return top_category_pairs(pair_counts_of_sets(sessions, "categories"), limit)

@@ -1,13 +1,17 @@
 from tillwise.streaming.clicks import (
+    abandoned_carts,
     abandoned_sessions,
     last_views_before_purchase,
     sales_after_page,
+    session_totals,
     sessionize,
 )
 
 __all__ = [
+    "abandoned_carts",
     "abandoned_sessions",
     "last_views_before_purchase",
     "sales_after_page",
+    "session_totals",
     "sessionize",
 ]

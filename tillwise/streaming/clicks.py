@@ -27,6 +27,21 @@ def _with_chunk(clicks: DataFrame, ts: str, chunk_seconds: int) -> DataFrame:
     return clicks.withColumn(CHUNK, time - F.pmod(time, F.lit(chunk_seconds).cast("long")))
 
 
+def _break_up(clicks: DataFrame, user: str, ts: str, timeout: int, chunk_seconds: int) -> DataFrame:
+    """Add the chunk and ``_piece``: how many gaps longer than ``timeout`` lie before the
+    click within its chunk. Rows without user or time are dropped."""
+    clicks = clicks.filter(F.col(user).isNotNull() & F.col(ts).isNotNull())
+    in_chunk = Window.partitionBy(user, CHUNK).orderBy(ts)
+    gap = F.col(ts) - F.lag(ts).over(in_chunk)
+    so_far = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        _with_chunk(clicks, ts, chunk_seconds)
+        .withColumn("_break", F.when(gap > timeout, 1).otherwise(0))
+        .withColumn("_piece", F.sum("_break").over(so_far))
+        .drop("_break")
+    )
+
+
 def sessionize(
     clicks: DataFrame,
     *,
@@ -37,27 +52,19 @@ def sessionize(
 ) -> DataFrame:
     """Add ``session_no`` (1, 2, … per user) and ``session_id`` (``user_no``).
 
-    A session ends where the gap to the next click is longer than ``timeout``; a
-    gap of exactly ``timeout`` stays inside. Rows without user or time are dropped.
+    A session ends where the gap to the next click is longer than ``timeout``; a gap of
+    exactly ``timeout`` stays inside. Rows without user or time are dropped.
     """
-    clicks = clicks.filter(F.col(user).isNotNull() & F.col(ts).isNotNull())
-    in_chunk = Window.partitionBy(user, CHUNK).orderBy(ts)
-    gap = F.col(ts) - F.lag(ts).over(in_chunk)
-    local = (
-        _with_chunk(clicks, ts, chunk_seconds)
-        .withColumn("_break", F.when(gap > timeout, 1).otherwise(0))
-        .withColumn(
-            "_breaks",
-            F.sum("_break").over(in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        )
-    )
+    local = _break_up(clicks, user, ts, timeout, chunk_seconds)
+    # This side needs times only, each once: equal ones go before the shuffle.
+    times = _break_up(clicks.select(user, ts).distinct(), user, ts, timeout, chunk_seconds)
 
     per_user = Window.partitionBy(user).orderBy(CHUNK)
     before = F.lag("_last").over(per_user)
     opened = F.when(before.isNull() | (F.col("_first") - before > timeout), 1).otherwise(0)
     chunks = (
-        local.groupBy(user, CHUNK)
-        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_breaks").alias("_inner"))
+        times.groupBy(user, CHUNK)
+        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_piece").alias("_inner"))
         .withColumn("_opened", opened)
         .withColumn("_total", F.sum(F.col("_opened") + F.col("_inner")).over(
             per_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -65,9 +72,42 @@ def sessionize(
     )
     return (
         local.join(chunks, [user, CHUNK])
-        .withColumn("session_no", F.col("_base") + F.col("_breaks"))
+        .withColumn("session_no", F.col("_base") + F.col("_piece"))
         .withColumn("session_id", F.concat_ws("_", F.col(user), F.col("session_no")))
-        .drop(CHUNK, "_break", "_breaks", "_base")
+        .drop(CHUNK, "_piece", "_base")
+    )
+
+
+def session_totals(
+    clicks: DataFrame,
+    *,
+    user: str,
+    ts: str,
+    timeout: int,
+    partial: list[Column],
+    merge: list[Column],
+    chunk_seconds: int = SECONDS_PER_DAY,
+) -> DataFrame:
+    """Aggregates per session: (user, session_no, the merged columns).
+
+    ``partial`` aggregates the clicks of one chunk's part of a session, ``merge`` puts
+    the parts together. The clicks are shuffled once and never joined back: sessions
+    are numbered on the parts, of which a user has few, whatever the number of clicks.
+    """
+    parts = (
+        _break_up(clicks, user, ts, timeout, chunk_seconds)
+        .groupBy(user, CHUNK, "_piece")
+        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), *partial)
+    )
+    per_user = Window.partitionBy(user).orderBy(CHUNK, "_piece")
+    before = F.lag("_last").over(per_user)
+    opened = F.when(before.isNull() | (F.col("_first") - before > timeout), 1).otherwise(0)
+    return (
+        parts.withColumn("_opened", opened)
+        .withColumn("session_no", F.sum("_opened").over(
+            per_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .groupBy(user, "session_no")
+        .agg(*merge)
     )
 
 
@@ -126,6 +166,12 @@ def last_views_before_purchase(
     )
 
 
+def _last_cart_page(ts: str, page_type: str, cart: str, order: str) -> Column:
+    """Aggregate: the last cart or order page, by time and then by type."""
+    page = F.struct(F.col(ts).alias("at"), F.col(page_type).alias("type"))
+    return F.max(F.when(F.col(page_type).isin(cart, order), page))
+
+
 def abandoned_sessions(
     pages: DataFrame,
     *,
@@ -137,15 +183,40 @@ def abandoned_sessions(
 ) -> DataFrame:
     """``pagecount`` of each session whose last cart page comes after its last order
     page. Pages are ordered by time, then by type."""
-    last = F.max(
-        F.when(F.col(page_type).isin(cart, order), F.struct(F.col(ts), F.col(page_type)))
-    )
+    last = _last_cart_page(ts, page_type, cart, order).alias("_last_page")
     return (
         pages.groupBy(*session)
-        .agg(F.count(F.lit(1)).alias("pagecount"), last.alias("_last"))
-        .filter(F.col(f"_last.{page_type}") == cart)
-        .drop("_last")
+        .agg(F.count(F.lit(1)).alias("pagecount"), last)
+        .filter(F.col("_last_page.type") == cart)
+        .drop("_last_page")
+    )
+
+
+def abandoned_carts(
+    clicks: DataFrame,
+    *,
+    user: str,
+    ts: str,
+    page_type: str,
+    timeout: int,
+    cart: str = "dynamic",
+    order: str = "order",
+    chunk_seconds: int = SECONDS_PER_DAY,
+) -> DataFrame:
+    """``abandoned_sessions`` straight from the clicks: (user, session_no, pagecount)."""
+    sessions = session_totals(
+        clicks,
+        user=user,
+        ts=ts,
+        timeout=timeout,
+        partial=[
+            F.count(F.lit(1)).alias("pages"),
+            _last_cart_page(ts, page_type, cart, order).alias("_last_page"),
+        ],
+        merge=[F.sum("pages").alias("pagecount"), F.max("_last_page").alias("_last_page")],
+        chunk_seconds=chunk_seconds,
     )
+    return sessions.filter(F.col("_last_page.type") == cart).drop("_last_page")
 
 
 def _is(column: str, value: str) -> Column:
