@@ -10,6 +10,8 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+KINDS = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+
 
 def duck(folder: str):
     import duckdb
@@ -41,6 +43,9 @@ def differences(spark_df, con, sql: str) -> str | None:
     columns = [d[0] for d in result.description]
     if sorted(columns) != names:
         return f"columns {names} / {sorted(columns)}"
+    kinds = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in result.description}
+    if kinds != dict(spark_df.dtypes):
+        return f"kinds {dict(spark_df.dtypes)} / {kinds}"
     order = [columns.index(n) for n in names]
     theirs = Counter(tuple(_cell(r[i]) for i in order) for r in result.fetchall())
     if mine == theirs:

@@ -64,9 +64,9 @@ class TestbedTables:
         quantity = F.col("l_quantity").cast("int")
         discount = F.expr("(cents * percent + 50) div 100")
         cost = F.expr("(cents * 6 + 5) div 10")
+        lines = self.raw("lineitem").filter(F.col("l_linestatus") == status)
         return (
-            self.raw("lineitem")
-            .filter(F.col("l_linestatus") == status)
+            self._spread(lines, "l_orderkey")
             .withColumns({"cents": cents, "percent": percent, "quantity": quantity})
             .select(
                 "*",
