@@ -16,6 +16,25 @@ MONEY = "decimal(12,2)"
 # Events are from 2024, orders end in 2001: event days move back by this much, so
 # that 2024-01-01 falls on 1997-01-01.
 EVENT_DAYS_BACK = 9861
+# Declared, so that no job has to look into the files first.
+RAW = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+        o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 CALENDAR = (7305, 14610)  # 1990-01-01 and the number of days from there
 CATEGORIES = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "SMALL": 4, "STANDARD": 5, "PROMO": 8}
 PAGE_TYPES = ["dynamic", "order", "review", "purchase", "error"]
@@ -49,7 +68,7 @@ class TestbedTables:
         return getattr(self, f"_{name}")()
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(RAW[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _spread(self, rows: DataFrame, key: str) -> DataFrame:
         """The rows over all cores where their files make fewer splits than there are
