@@ -10,7 +10,7 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-KINDS = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+KINDS = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
 def duck(folder: str):

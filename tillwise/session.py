@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,27 +22,27 @@ RUNTIME_SETTINGS = {
 }
 
 
+CONFIGURED = "tillwise.configured"
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply RUNTIME_SETTINGS, leaving alone what the user set on the context."""
+    """Apply RUNTIME_SETTINGS once a session, leaving alone what the user set on the context
+    or on the session (a value other than Spark's own default)."""
     chosen = spark.sparkContext.getConf()
-    for key, value in RUNTIME_SETTINGS.items():
-        if not chosen.contains(key):
-            spark.conf.set(key, value)
+    if spark.conf.get(CONFIGURED, None) is None:
+        fresh = spark.newSession().conf
+        for key, value in RUNTIME_SETTINGS.items():
+            if not chosen.contains(key) and spark.conf.get(key, None) == fresh.get(key, None):
+                spark.conf.set(key, value)
+        spark.conf.set(CONFIGURED, "true")
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local master, where driver and executors share one disk, falls back to a
-    temporary folder of its own.
-    """
+    """The folder named by ``spark.checkpoint.dir``, which all executors share."""
     named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="tillwise-")
-        spark.sparkContext.setCheckpointDir(named)
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return named.rstrip("/")
 
 
