@@ -55,4 +55,13 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.durable_path = path
+    return table
+
+
+def release(table: DataFrame) -> None:
+    """Delete the files of a table that ``durable`` wrote. Nothing may read it afterwards."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.durable_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
