@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Catalyst broadcasts a side only while its estimated size is below this.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Bounds what a task holds of long texts on their way to and from Python.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16MB",
     # The JVM does not compile longer methods; generated code beyond that runs slowly.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
