@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-PIECE_BYTES = 1 << 19
+PIECE_BYTES = 1 << 18
 SHINGLE = 5
 
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -113,9 +113,13 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and the offsets of a text column; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if offsets is None:
+        return np.empty(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    offsets = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     return data, offsets
 
