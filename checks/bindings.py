@@ -132,7 +132,7 @@ RETAIL = {
   SELECT pr_review_sk, pr_review_date, pr_item_sk, pos,
          regexp_replace(raw, '^\s+|\s+$', '', 'g') AS review_sentence
   FROM (SELECT pr_review_sk, pr_review_date, pr_item_sk, generate_subscripts(parts, 1) AS pos, unnest(parts) AS raw
-        FROM (SELECT *, regexp_split_to_array(pr_review_content, '[.!?\n]+') AS parts FROM product_reviews))""",
+        FROM (SELECT *, regexp_split_to_array(regexp_replace(pr_review_content, '([.!?]+["'')\]]*)\s+', '\1' || chr(10), 'g'), '\n+') AS parts FROM product_reviews))""",
     "lexicon": "SELECT * FROM (VALUES ('er', 'NEG'), ('that', 'NEG'), ('den', 'NEG'), ('la', 'POS'), ('with', 'POS')) AS lex(word, polarity)",
     "sentiment": r"""
   SELECT pr_review_sk, pr_review_date, pr_item_sk, pos, review_sentence,

@@ -114,7 +114,7 @@ FREE_NAME = "NOT (starts_with(review_sentence, company_name) AND NOT contains(co
 
 MENTIONED = """
   SELECT pr_review_sk, name
-  FROM product_reviews JOIN (SELECT DISTINCT lower({name}) AS name FROM store {group})
+  FROM product_reviews JOIN (SELECT DISTINCT lower(s_store_name) AS name FROM store)
     ON contains(lower(pr_review_content), name)"""
 
 RETURN_FEATURES = """
@@ -300,7 +300,7 @@ SQL = {
         JOIN date_dim ON inv_date_sk = d_date_sk
         WHERE i_current_price BETWEEN 900 AND 901 AND d_date BETWEEN '1997-05-02' AND '1997-07-01'
         GROUP BY ALL)
-  WHERE before > 0 AND 3 * after >= 2 * before AND 2 * after <= 3 * before
+  WHERE before > 0 AND CAST(after AS FLOAT) / CAST(before AS FLOAT) >= CAST(0.666667 AS FLOAT) AND 2 * after <= 3 * before
   ORDER BY w_warehouse_name, i_item_id LIMIT 100""",
     "q23_uneven_stock": """
   WITH spread AS (
@@ -376,8 +376,7 @@ SQL = {
     "find_known_company": f"""
   SELECT pr_review_sk, company_name, review_sentence FROM ({NAMES})
   WHERE lower(company_name) IN ('the', 'that', 'orre orre', 'ernt', 'eaux')""",
-    "mentions": MENTIONED.format(name="min(s_store_name)", group="GROUP BY substr(s_store_name, 1, 1)"),
-    "mentions_by_vocabulary": MENTIONED.format(name="s_store_name", group=""),
+    "mentions": MENTIONED,
     "linear_fit": f"""
   SELECT ss_store_sk, round(slope, 5) AS slope, round(intercept, 3) AS intercept
   FROM ({_fit('''SELECT ss_store_sk, ss_sold_date_sk AS day, CAST(sum(ss_net_paid) * 100 AS HUGEINT) AS cents

@@ -156,18 +156,9 @@ def _frequent_pairs(t) -> DataFrame:
     )
 
 
-def _mentions(t, few: int) -> DataFrame:
+def _mentions(t) -> DataFrame:
     return text.mentions(
-        t["product_reviews"], t["store"], key="pr_review_sk", text="pr_review_content",
-        name="s_store_name", few=few,
-    )
-
-
-def _few_mentions(t) -> DataFrame:
-    """One store name for each first letter: few enough to travel as a literal."""
-    names = t["store"].groupBy(F.substring("s_store_name", 1, 1)).agg(F.min("s_store_name").alias("name"))
-    return text.mentions(
-        t["product_reviews"], names, key="pr_review_sk", text="pr_review_content", name="name"
+        t["product_reviews"], t["store"], key="pr_review_sk", text="pr_review_content", name="s_store_name"
     )
 
 
@@ -282,8 +273,7 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
         t["product_reviews"], keep=["pr_review_sk"], text="pr_review_content"),
     "find_known_company": lambda t: text.find_company(
         t["product_reviews"], keep=["pr_review_sk"], text="pr_review_content", known=_known(t)),
-    "mentions": _few_mentions,
-    "mentions_by_vocabulary": lambda t: _mentions(t, 0),
+    "mentions": _mentions,
     "linear_fit": _fit,
     "declining_stores": lambda t: declining_stores(t, "1997-01-01", "1999-12-31"),
     "correlation": _correlation,

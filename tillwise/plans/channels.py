@@ -333,6 +333,10 @@ def q21(t, *, year=2003, month=1, months_to_return=6, years_to_rebuy=2, limit=10
     )
 
 
+# 2.0 / 3.0 as a decimal division gives it, six places: a fall from 3 to 2 is above it.
+LEAST_STOCK_RATIO = Decimal("0.666667")
+
+
 def q22(t, *, date="2001-05-08", days=30, price_min=0.98, price_max=1.5, limit=100) -> DataFrame:
     """Stock per warehouse and item that changed by no more than half around a date."""
     price = F.col("i_current_price").cast("float")
@@ -354,7 +358,7 @@ def q22(t, *, date="2001-05-08", days=30, price_min=0.98, price_max=1.5, limit=1
         .agg(F.sum("sum_before").alias("inv_before"), F.sum("sum_after").alias("inv_after"))
         .filter(
             (F.col("inv_before") > 0)
-            & (change >= F.lit(2.0 / 3.0).cast("float"))
+            & (change >= F.lit(LEAST_STOCK_RATIO).cast("float"))
             & (change <= F.lit(3.0 / 2.0).cast("float"))
         )
         .orderBy("w_warehouse_name", "i_item_id")

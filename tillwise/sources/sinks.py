@@ -16,7 +16,9 @@ def write_delimited(df: DataFrame, path: str, *, delimiter: str = ",", mode: str
     def as_text(field) -> Column:
         value = F.col(f"`{field.name}`").cast("string")
         if isinstance(field.dataType, DecimalType) and field.dataType.scale > 0:
-            value = F.regexp_replace(value, r"\.?0+$", "")
+            # A plain cast may write a small decimal with an exponent.
+            plain = F.format_number(F.col(f"`{field.name}`"), field.dataType.scale)
+            value = F.regexp_replace(F.translate(plain, ",", ""), r"\.?0+$", "")
         return F.coalesce(value, F.lit(NULL_TEXT))
 
     line = F.concat_ws(delimiter, *[as_text(f) for f in df.schema.fields])

@@ -70,12 +70,6 @@ class TestbedTables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.schema(RAW[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def _spread(self, rows: DataFrame, key: str) -> DataFrame:
-        """The rows over all cores where their files make fewer splits than there are
-        cores, as a small file with a single row group does."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
-
     def _lines(self, status: str) -> DataFrame:
         """Order lines of one channel. Money is worked out in whole cents."""
         cents = F.round(F.col("l_extendedprice") * 100).cast("long")
@@ -85,7 +79,7 @@ class TestbedTables:
         cost = F.expr("(cents * 6 + 5) div 10")
         lines = self.raw("lineitem").filter(F.col("l_linestatus") == status)
         return (
-            self._spread(lines, "l_orderkey")
+            lines
             .withColumns({"cents": cents, "percent": percent, "quantity": quantity})
             .select(
                 "*",
@@ -346,7 +340,7 @@ class TestbedTables:
         )
         days = (F.lit(9862) + F.col("doc_id") % 365).cast("int")
         return (
-            self._spread(self.raw("documents"), "doc_id")
+            self.raw("documents")
             .join(self.raw("labels"), "doc_id", "left")
             .select(
                 F.col("doc_id").alias("pr_review_sk"),
