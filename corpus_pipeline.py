@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tillwise.llm import decontaminate, jaccard_join, line_dedup, packing, quality_classifier
 from tillwise.llm.registry import tokenizer_path
-from tillwise.llm.shared import table
-from tillwise.session import configure, durable
+from tillwise.llm.shared import configure_texts, table
+from tillwise.session import durable
 
 #: Documents below this quality score go.
 LEAST_QUALITY = 0.3
@@ -16,13 +16,13 @@ LEAST_QUALITY = 0.3
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from ``labels``, does not reject."""
-    model = quality_classifier.fit_quality(docs, table(configure(spark), sf_dir, "labels"))
+    model = quality_classifier.fit_quality(docs, table(configure_texts(spark), sf_dir, "labels"))
     return quality_classifier.keep_quality(docs, model, LEAST_QUALITY)
 
 
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines they share with four or more others; n_chars follows."""
-    configure(spark)
+    configure_texts(spark)
     kept = line_dedup.drop_lines(docs, line_dedup.keep_bitmaps(docs))
     return kept.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
 
@@ -30,6 +30,7 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class of near-duplicates; of rows that repeat
     an id, one. Rows with a null id stay."""
+    configure_texts(spark)
     classes = jaccard_join.jaccard_classes(docs.filter(F.col("doc_id").isNotNull()))
     first = classes.filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
     kept = docs.join(first.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -38,12 +39,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ``benchmark``."""
-    return decontaminate.drop_contaminated(docs, table(configure(spark), sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, table(configure_texts(spark), sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their place in sequences of 2048 tokens."""
-    configure(spark)
+    configure_texts(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 
@@ -62,7 +63,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages, one after the other, over all documents; each one's result is written as a
     Parquet table and read again."""
-    docs = table(configure(spark), sf_dir, "documents")
+    docs = table(configure_texts(spark), sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -187,7 +187,7 @@ def margins_of(rows, ids, n_rows: int, weights: np.ndarray, squares: np.ndarray,
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, shards: int = 4, bits: int = BITS, how: Svm = Svm()
+    docs: DataFrame, labels: DataFrame, *, max_rows: int = 16_000, shards: int = 8, bits: int = BITS, how: Svm = Svm()
 ) -> QualityModel:
     """Learn ``labels.quality`` from at most ``max_rows`` labelled texts outside the
     held-out fold: log-count ratios over all of them, then a support vector machine on
@@ -206,13 +206,14 @@ def fit_quality(
 
     plain, bias = train_shards(sample, fit, dims)
     weights, squares = plain * ratios, ratios * ratios
+    model = sample.sparkSession.sparkContext.broadcast((weights, squares))
 
     def make():
         powers = Powers()
 
         def each(batch):
             for piece in pieces(batch.column("text")):
-                found = margins_of(*ngrams(piece, powers, bits), len(piece), weights, squares, bias)
+                found = margins_of(*ngrams(piece, powers, bits), len(piece), *model.value, bias)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found), batch.column("label").slice(piece.first, len(piece))], names=["margin", "label"]
                 )

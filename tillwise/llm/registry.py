@@ -11,9 +11,8 @@ from tillwise.llm import (
     decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, sharding, substring_dedup,
     toxicity, warc,
 )
-from tillwise.llm.shared import fold, table
+from tillwise.llm.shared import configure_texts, fold, table
 from tillwise.llm.sql import ORACLE
-from tillwise.session import configure
 
 
 def tokenizer_path() -> str:
@@ -94,7 +93,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(run):
-        return lambda spark, sf_dir: run(configure(spark), sf_dir)
+        return lambda spark, sf_dir: run(configure_texts(spark), sf_dir)
 
     return {name: bind(run) for name, run in {**QUERIES, "pipeline": pipeline}.items()}
 

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.session import durable
+from tillwise.session import configure, durable
+
+#: Bounds what a task holds of long texts at once: rows read together, and bytes on their way
+#: to and from Python.
+TEXT_SETTINGS = {
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4MB",
+}
 
 #: A row is held out from learning where the CRC-32 of its id as text leaves 0 by 5.
 FOLDS = 5
@@ -15,6 +22,16 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % FOLDS
 
 
+def configure_texts(spark: SparkSession) -> SparkSession:
+    """``configure``, and TEXT_SETTINGS unless the context has its own values."""
+    configure(spark)
+    chosen = spark.sparkContext.getConf()
+    for key, value in TEXT_SETTINGS.items():
+        if not chosen.contains(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -84,7 +84,7 @@ def lowered(df: DataFrame) -> DataFrame:
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, *, max_rows: int = 16_000, shards: int = 1, bits: int = BITS, how: Ftrl = Ftrl()
+    docs: DataFrame, labels: DataFrame, *, max_rows: int = 10_000, shards: int = 1, bits: int = BITS, how: Ftrl = Ftrl()
 ) -> ToxicityModel:
     """Learn ``labels.toxic`` from at most ``max_rows`` labelled texts outside the
     held-out fold. Each of ``shards`` tasks trains on its share and the weights are
