@@ -430,5 +430,74 @@ SQL = {
 }
 
 
+def _facts(features: str, key: str) -> str:
+    """What holds for any converged clusters of these features."""
+    return f"""
+  SELECT count(*) AS n_rows, count(DISTINCT {key}) AS n_keys, count(*) AS n_sized,
+         CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS off_center, true AS cost_agrees
+  FROM ({features})"""
+
+
+def _per_class(what: str) -> str:
+    return ", ".join(what.format(c=c) for c in ("NEG", "NEUT", "POS"))
+
+
+#: Naive Bayes from word counts: classed(k, rating, actual, class) of the test reviews.
+CLASSED = rf"""
+  WITH rated AS (
+    SELECT pr_review_sk AS k, pr_review_rating AS rating, pr_review_sk % 10 = 0 AS test,
+           CASE WHEN pr_review_rating <= 2 THEN 'NEG' WHEN pr_review_rating = 3 THEN 'NEUT' ELSE 'POS' END AS actual,
+           string_split_regex(lower(pr_review_content), '[^\p{{L}}\p{{N}}]+') AS words
+    FROM product_reviews WHERE pr_review_rating IS NOT NULL),
+  word_of AS (SELECT * EXCLUDE (words, word), word FROM (SELECT *, unnest(words) AS word FROM rated) WHERE word <> ''),
+  model AS (SELECT word, {_per_class("count(*) FILTER (WHERE actual = '{c}') AS {c}")}
+            FROM word_of WHERE NOT test GROUP BY word),
+  sums AS (SELECT count(*) AS v, {_per_class("sum({c}) AS all_{c}")} FROM model),
+  docs AS (SELECT count(*) AS n, count(DISTINCT actual) AS kinds,
+                  {_per_class("count(*) FILTER (WHERE actual = '{c}') AS docs_{c}")} FROM rated WHERE NOT test),
+  weighed AS (SELECT k, {_per_class("sum(ln({c} + 1) - ln(all_{c} + v)) AS w_{c}")}
+              FROM word_of JOIN model USING (word), sums WHERE test GROUP BY k),
+  scored AS (
+    SELECT k, rating, actual, {_per_class("CASE WHEN docs_{c} > 0 THEN round(coalesce(w_{c}, 0) + ln(docs_{c} + 1) - ln(n + kinds), 9) ELSE -1e300 END AS s_{c}")}
+    FROM rated LEFT JOIN weighed USING (k), docs WHERE test),
+  classed AS (
+    SELECT *, CASE WHEN s_NEG >= s_NEUT AND s_NEG >= s_POS THEN 'NEG' WHEN s_NEUT >= s_POS THEN 'NEUT' ELSE 'POS' END AS class
+    FROM scored)"""
+
+SQL |= {
+    "q05_classifier_facts": f"""
+  WITH f AS ({SQL["q05_interest_features"]}), m AS (SELECT avg(clicks_in_category) AS mean FROM f)
+  SELECT count(*) FILTER (WHERE clicks_in_category <= mean) AS negatives,
+         count(*) FILTER (WHERE clicks_in_category > mean) AS positives,
+         true AS accuracy_agrees, true AS better_than_chance, true AS calibrated FROM f, m""",
+    "q20_cluster_facts": _facts(SQL["q20_return_features"], "user_sk"),
+    "q25_cluster_facts": _facts(SQL["q25_recency_features"], "cid"),
+    "q26_cluster_facts": _facts(SQL["q26_class_features"], "cid"),
+    "q28_review_classes": CLASSED + """
+  SELECT k AS review_sk, CAST(rating AS BIGINT) AS rating, class FROM classed""",
+    "q28_review_classifier_quality": CLASSED + f""",
+  label(label) AS (VALUES ('NEG'), ('NEUT'), ('POS')),
+  hit AS (
+    SELECT label, {", ".join(f"count(*) FILTER (WHERE actual = label AND class = '{c}') AS as_{c.lower()}" for c in ("NEG", "NEUT", "POS"))},
+           count(*) FILTER (WHERE actual = label AND class = label) AS h,
+           count(*) FILTER (WHERE class = label) AS said, count(*) FILTER (WHERE actual = label) AS was,
+           count(*) FILTER (WHERE actual = class) AS hits, count(*) AS n
+    FROM label, classed GROUP BY label)
+  SELECT label, as_neg, as_neut, as_pos, h / nullif(CAST(said AS DOUBLE), 0) AS precision,
+         h / nullif(CAST(was AS DOUBLE), 0) AS recall,
+         CASE WHEN h > 0 THEN 2.0 * h / (said + was) END AS f1, hits / nullif(CAST(n AS DOUBLE), 0) AS accuracy FROM hit""",
+    "seen_with": """
+  SELECT a.inv_item_sk, count(DISTINCT a.inv_date_sk) AS cnt
+  FROM inventory a JOIN inventory b ON a.inv_date_sk = b.inv_date_sk
+  WHERE b.inv_item_sk = 69 AND a.inv_item_sk <> 69 GROUP BY a.inv_item_sk""",
+    "delimited_output": r"""
+  SELECT concat_ws(',', ws_order_number, ws_item_sk, coalesce(CAST(ws_warehouse_sk AS VARCHAR), '\N'),
+                   coalesce(CAST(ws_quantity AS VARCHAR), '\N'),
+                   coalesce(regexp_replace(CAST(CAST(ws_sales_price AS DECIMAL(12,2)) AS VARCHAR), '\.?0+$', ''), '\N'),
+                   coalesce(regexp_replace(CAST(CAST(ws_net_paid AS DECIMAL(12,2)) AS VARCHAR), '\.?0+$', ''), '\N')) AS line
+  FROM web_sales""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_tables(sql) for name, sql in SQL.items()}

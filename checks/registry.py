@@ -3,6 +3,7 @@ there. All of them run over whole tables."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,11 @@ from pyspark.sql.types import DecimalType, FloatType, IntegerType, ShortType
 
 from tillwise import plans
 from tillwise.functions.expressions import make_pairs, virtual_seconds
-from tillwise.operators import baskets, features, periods, statistics, text
+from tillwise.operators import baskets, features, models, periods, statistics, text
 from tillwise.plans.channels import BuyerBand, PlaceBand, dear_items, rebought_quantities
 from tillwise.plans.trends import declining_stores
-from tillwise.session import configure
+from tillwise.session import checkpoint_dir, configure
+from tillwise.sources.sinks import write_delimited
 from tillwise.sources.testbed import TestbedTables
 from tillwise.streaming import clicks
 
@@ -174,6 +176,27 @@ def _cluster_centers(t) -> DataFrame:
     return result.centers.withColumn("cost", F.lit(result.cost))
 
 
+def _seen_with(t) -> DataFrame:
+    return baskets.seen_with(t["inventory"], basket=["inv_date_sk"], item="inv_item_sk", target=ITEM)
+
+
+def _classifier_facts(t) -> DataFrame:
+    quality = plans.q05(
+        t, category="PROMO", education=("BUILDING", "MACHINERY"), iterations=300, tolerance=1e-10
+    )
+    return models.classifier_facts(quality)
+
+
+def _delimited(t) -> DataFrame:
+    """Lines as the text sink wrote them."""
+    path = f"{checkpoint_dir(t.spark)}/lines-{uuid.uuid4().hex}"
+    rows = t["web_sales"].select(
+        "ws_order_number", "ws_item_sk", "ws_warehouse_sk", "ws_quantity", "ws_sales_price", "ws_net_paid"
+    )
+    write_delimited(rows, path)
+    return t.spark.read.text(path).select(F.col("value").alias("line"))
+
+
 def _describe(t) -> DataFrame:
     summary = t.raw("lineitem").select("l_quantity", "l_extendedprice").describe()
     return summary.select(
@@ -221,6 +244,7 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
     "q04_abandoned_carts": lambda t: plans.q04(t, timeout=SESSION_GAP),
     "q05_interest_features": lambda t: plans.q05_features(t, category="PROMO", education=("BUILDING", "MACHINERY")),
     "q05_interest_classifier": lambda t: plans.q05(t, category="PROMO", education=("BUILDING", "MACHINERY")),
+    "q05_classifier_facts": _classifier_facts,
     "q06_web_growth_by_margin": lambda t: plans.q06(t, year=1996),
     "q07_states_buying_dear_items": lambda t: plans.q07(t, price_ratio=1.03, year=1998, month=7, min_count=3),
     "q08_sales_after_reviews": lambda t: plans.q08(t, start="1997-01-01", end="1997-12-31"),
@@ -239,14 +263,22 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
     "q20_return_features": lambda t: plans.q20_features(t),
     "q20_return_clusters": lambda t: plans.q20(t).assignments,
     "q20_return_cluster_centers": _cluster_centers,
+    "q20_cluster_facts": lambda t: models.cluster_facts(
+        plans.q20_features(t), plans.q20(t, iterations=200), key="user_sk"),
     "q21_returned_and_rebought": lambda t: plans.q21(t, year=1996, month=2),
     "q22_stock_around_date": lambda t: plans.q22(t, date="1997-06-01", price_min=900, price_max=901),
     "q23_uneven_stock": lambda t: plans.q23(t, year=1997, coefficient=0.5),
     "q24_price_elasticity": lambda t: plans.q24(t, item_sk=558),
     "q25_recency_features": lambda t: plans.q25_features(t, date="1998-01-02", today=11535),
     "q25_recency_clusters": lambda t: plans.q25(t, date="1998-01-02", today=11535).assignments,
+    "q25_cluster_facts": lambda t: models.cluster_facts(
+        plans.q25_features(t, date="1998-01-02", today=11535),
+        plans.q25(t, date="1998-01-02", today=11535, iterations=200), key="cid"),
     "q26_class_features": lambda t: plans.q26_features(t, categories=("PROMO",), min_count=2),
     "q26_class_clusters": lambda t: plans.q26(t, categories=("PROMO",), min_count=2).assignments,
+    "q26_cluster_facts": lambda t: models.cluster_facts(
+        plans.q26_features(t, categories=("PROMO",), min_count=2),
+        plans.q26(t, categories=("PROMO",), min_count=2, iterations=200), key="cid"),
     "q27_company_names": lambda t: plans.q27(t, item_sk=ITEM),
     "q28_review_split": _splits,
     "q28_review_classes": lambda t: plans.q28(t).predictions,
@@ -265,6 +297,7 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
     "sales_after_page": lambda t: clicks.sales_after_page(
         _typed_clicks(t), user="wcs_user_sk", ts="ts", sale="wcs_sales_sk", page_type="wp_type",
         wanted="review", within_seconds=SESSION_GAP),
+    "seen_with": _seen_with,
     "make_pairs": _pairs,
     "frequent_pairs": _frequent_pairs,
     "extract_sentiment": _sentiment,
@@ -293,6 +326,8 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
     "fillna": lambda t: _with_gaps(t).fillna(0),
     "describe": _describe,
     "customers_per_market": _per_market,
+    # the text sink
+    "delimited_output": _delimited,
 }
 
 

@@ -15,8 +15,6 @@ MODELS = {
     "q20_return_cluster_centers",
     "q25_recency_clusters",
     "q26_class_clusters",
-    "q28_review_classes",
-    "q28_review_classifier_quality",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")

@@ -42,20 +42,22 @@ def frequent_pairs(
     item: str,
     min_count: int,
     block: int = 256,
-    huge: int = 4096,
+    huge: int | None = 4096,
 ) -> DataFrame:
     """(left, right, cnt) for item pairs found together in more than ``min_count``
     baskets, left < right. Exact for any basket size:
 
     * an item in at most ``min_count`` baskets cannot be in such a pair and goes first;
-    * the ``min_count`` biggest baskets above ``huge`` items make no pairs. A pair
-      above the threshold must also sit in some other basket, so they only add to
-      pairs found there: each item has a bit per huge basket holding it;
-    * any other basket of more than ``block`` items is cut into blocks, and each pair
-      of blocks is a group of its own, so no group outgrows two blocks.
-
-    The items left after the first step and the list of large baskets are written to
-    the checkpoint folder, since several steps read them.
+    * baskets are cut into blocks of about ``block`` items, and each pair of blocks is
+      a group of its own, so no group outgrows two blocks; a basket of at most ``block``
+      items is one block;
+    * an option, off with ``huge=None``: the ``min_count`` biggest baskets (62 at most)
+      above ``huge`` items make no pairs. A pair above the threshold must also sit in
+      some other basket, so they only add to pairs found there: each item has a bit per
+      huge basket holding it.
+
+    The items left after the first step are written to the checkpoint folder, since
+    several steps read them.
     """
     rows = rows.select(F.col(basket).alias("basket"), F.col(item).alias("item")).dropna().distinct()
     if min_count > 0:
@@ -63,12 +65,11 @@ def frequent_pairs(
         rows = rows.join(frequent, "item", "left_semi")
     rows = durable(rows)
     sizes = rows.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
-    large = durable(sizes.filter(F.col("size") > block))
-    if large.isEmpty():
-        cut = rows.select("basket", "item", *[F.lit(0).alias(c) for c in ("own", "low", "high")])
-        return _count_pairs(cut).filter(F.col("cnt") > min_count)
+    large = sizes.filter(F.col("size") > block)
+    if huge is None:
+        return _count_pairs(_cut(rows, large, block)).filter(F.col("cnt") > min_count)
 
-    hugest = _hugest(large, huge, min(min_count, 62))
+    hugest = _hugest(sizes, huge, min(min_count, 62))
     pairs = _count_pairs(_cut(rows.join(hugest, "basket", "left_anti"), large, block))
     masks = rows.join(hugest, "basket").groupBy("item").agg(F.bit_or("bit").alias("mask"))
     both = F.coalesce(F.col("_l.mask").bitwiseAND(F.col("_r.mask")), F.lit(0).cast("long"))
@@ -80,11 +81,11 @@ def frequent_pairs(
     )
 
 
-def _hugest(large: DataFrame, huge: int, most: int) -> DataFrame:
+def _hugest(sizes: DataFrame, huge: int, most: int) -> DataFrame:
     """(basket, bit) of the biggest baskets, at most 62 rows: one bit of a long each."""
     order = [F.desc("size"), F.col("basket")]
     return (
-        large.filter(F.col("size") > huge)
+        sizes.filter(F.col("size") > huge)
         .orderBy(*order)
         .limit(most)
         .withColumn("_place", F.row_number().over(Window.orderBy(*order)) - 1)

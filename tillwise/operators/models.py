@@ -1,14 +1,15 @@
-"""Models over feature tables, fitted with pyspark.ml."""
+"""Models over feature tables and texts."""
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import HashingTF, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +55,36 @@ def cluster(
     )
 
 
+def cluster_facts(features: DataFrame, found: Clusters, *, key: str) -> DataFrame:
+    """One row of what must hold for clusters of ``features``: rows and keys assigned, the
+    sum of the sizes, rows nearer to another center, centers that are not the mean of
+    their rows (none once converged), and whether the cost is that of the assignments."""
+    columns = [c for c in features.columns if c != key]
+    centers = {r["cluster"]: r["center"] for r in found.centers.collect()}
+    rows = features.join(found.assignments, key)
+
+    def far(center):
+        return sum(((F.col(c) - F.lit(v)) ** 2 for c, v in zip(columns, center)), F.lit(0.0))
+
+    every = F.array(*[far(centers[i]) for i in sorted(centers)])
+    spread = rows.select(
+        key, F.element_at(every, F.col("cluster") + 1).alias("own"), F.array_min(every).alias("least")
+    ).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(key).alias("n_keys"),
+        count_if(F.col("own") > F.col("least") * (1 + 1e-9) + 1e-6).alias("misplaced"),
+        (F.abs(F.sum("own") - found.cost) <= 1e-6 * found.cost + 1e-6).alias("cost_agrees"),
+    )
+    means = rows.groupBy("cluster").agg(F.array(*[F.avg(c).cast("double") for c in columns]).alias("mean"))
+    off = F.exists(
+        F.zip_with("mean", "center", lambda m, c: F.abs(m - c) > 1e-3 * (1 + F.abs(c))), lambda wrong: wrong
+    )
+    middle = found.centers.join(means, "cluster", "left").agg(
+        F.sum("size").alias("n_sized"), count_if(off).alias("off_center")
+    )
+    return spread.withColumn("_one", F.lit(1)).join(middle.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
 def interest_classifier(
     features: DataFrame,
     *,
@@ -63,8 +94,9 @@ def interest_classifier(
     tolerance: float = 1e-5,
 ) -> DataFrame:
     """Logistic regression of "count above threshold" on the other columns, and its
-    quality on the same rows: accuracy, auc and the four cells of the confusion
-    matrix (n_<actual><predicted>). The threshold defaults to the mean count."""
+    quality on the same rows: accuracy, auc, the four cells of the confusion matrix
+    (n_<actual><predicted>) and the mean probability of label 1. The threshold defaults
+    to the mean count."""
     columns = [c for c in features.columns if c != count]
     rows = durable(
         VectorAssembler(inputCols=columns, outputCol="features")
@@ -88,6 +120,22 @@ def interest_classifier(
         F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
         F.lit(auc).alias("auc"),
         *cells,
+        F.avg(vector_to_array("probability")[1]).alias("mean_probability"),
+    )
+
+
+def classifier_facts(quality: DataFrame) -> DataFrame:
+    """One row of what must hold for ``interest_classifier``: rows per label, accuracy from the
+    four cells, an area above one half, and, once converged, a mean probability equal to
+    the share of label 1."""
+    negatives, positives = F.col("n_00") + F.col("n_01"), F.col("n_10") + F.col("n_11")
+    rows = negatives + positives
+    return quality.select(
+        negatives.alias("negatives"),
+        positives.alias("positives"),
+        (F.abs(F.col("accuracy") - ratio(F.col("n_00") + F.col("n_11"), rows)) < 1e-9).alias("accuracy_agrees"),
+        F.col("auc").between(0.5, 1.0).alias("better_than_chance"),
+        (F.abs(F.col("mean_probability") - ratio(positives, rows)) < 1e-3).alias("calibrated"),
     )
 
 
@@ -109,6 +157,10 @@ class ReviewClasses:
     quality: DataFrame
 
 
+def _log(value: float) -> float:
+    return math.log(value) if value > 0 else -math.inf
+
+
 def review_classifier(
     train: DataFrame,
     test: DataFrame,
@@ -117,34 +169,50 @@ def review_classifier(
     rating: str,
     text: str,
     smoothing: float = 1.0,
-    dimensions: int = 1 << 18,
 ) -> ReviewClasses:
-    """Multinomial naive Bayes over hashed word counts. ``smoothing`` 0 is allowed, but
-    then a word unseen in a class rules the class out."""
+    """Multinomial naive Bayes over exact word counts; ``key`` tells the test rows apart.
+
+    The model is a table with one row per word, written to the checkpoint folder. Test
+    words meet it by an equi-join and only words are shuffled, never texts. Words that no
+    training text has count for nothing. ``smoothing`` 0 is allowed, but then a word
+    unseen in a class rules the class out; so is a class without training rows. Of
+    equal scores (to nine decimals) the lower class wins.
+    """
+    words = F.filter(F.split(F.lower(F.col(text)), NOT_A_WORD), lambda w: w != "")
 
     def labelled(rows: DataFrame) -> DataFrame:
-        label = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), rating_class(F.col(rating)))
         return rows.filter(F.col(rating).isNotNull()).select(
-            key, rating, text, (label - 1).cast("double").alias("label")
-        )
-
-    pipeline = Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text, outputCol="_words", pattern=NOT_A_WORD),
-            HashingTF(inputCol="_words", outputCol="features", numFeatures=dimensions),
-            NaiveBayes(smoothing=smoothing, modelType="multinomial"),
-        ]
-    )
-    classes = F.array(*[F.lit(c) for c in CLASSES])
-    scored = durable(
-        pipeline.fit(labelled(train))
-        .transform(labelled(test))
-        .select(
             F.col(key).alias("review_sk"),
             F.col(rating).alias("rating"),
-            F.element_at(classes, F.col("label").cast("int") + 1).alias("actual"),
-            F.element_at(classes, F.col("prediction").cast("int") + 1).alias("class"),
+            rating_class(F.col(rating)).alias("actual"),
+            words.alias("words"),
+        )
+
+    rows = labelled(train)
+    per_class = [count_if(F.col("actual") == c).alias(c) for c in CLASSES]
+    model = durable(rows.select("actual", F.explode("words").alias("word")).groupBy("word").agg(*per_class))
+    docs = rows.agg(*per_class).first()
+    sums = model.agg(F.count(F.lit(1)).alias("words"), *[F.sum(c).alias(c) for c in CLASSES]).first()
+
+    def score(c: str):
+        if not docs[c]:
+            return F.lit(-math.inf)
+        prior = _log(docs[c] + smoothing) - _log(sum(docs) + smoothing * sum(map(bool, docs)))
+        whole = _log((sums[c] or 0) + smoothing * sums["words"])
+        weight = F.when(F.col(c) + smoothing > 0, F.log(F.col(c) + smoothing) - whole).when(
+            F.col(c).isNotNull(), -math.inf
         )
+        return F.round(F.coalesce(F.sum(weight), F.lit(0.0)) + prior, 9)
+
+    neg, neut, pos = (F.col(f"_{c}") for c in CLASSES)
+    best = F.when((neg >= neut) & (neg >= pos), "NEG").when(neut >= pos, "NEUT").otherwise("POS")
+    scored = durable(
+        labelled(test)
+        .withColumn("word", F.explode_outer("words"))
+        .join(model, "word", "left")
+        .groupBy("review_sk", "rating", "actual")
+        .agg(*[score(c).alias(f"_{c}") for c in CLASSES])
+        .select("review_sk", "rating", "actual", best.alias("class"))
     )
     return ReviewClasses(
         predictions=scored.select("review_sk", "rating", "class"), quality=_quality(scored)

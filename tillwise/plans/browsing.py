@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.expressions import virtual_seconds
-from tillwise.operators.baskets import pair_counts_of_sets, seen_with
+from tillwise.operators.baskets import pair_counts_of_sets
 from tillwise.plans.baskets import top_category_pairs
 from tillwise.streaming.clicks import (
     abandoned_carts,
     last_views_before_purchase,
     sales_after_page,
+    seen_in_session_with,
     session_totals,
-    sessionize,
 )
 
 USER, TS = "wcs_user_sk", "tstamp"
@@ -28,16 +28,10 @@ def _clicks(t) -> DataFrame:
 
 def q02(t, *, item_sk=10001, timeout=3600, limit=30) -> DataFrame:
     """Items most often viewed in one session with a given item."""
-    clicks = (
-        _clicks(t)
-        .select(USER, TS, "wcs_item_sk")
-        .filter(F.col(USER).isNotNull() & F.col("wcs_item_sk").isNotNull())
-    )
-    # Sessions belong to one user, so other users' clicks cannot contribute.
-    viewers = clicks.filter(F.col("wcs_item_sk") == item_sk).select(USER).distinct()
-    sessions = sessionize(clicks.join(viewers, USER, "left_semi"), user=USER, ts=TS, timeout=timeout)
     return (
-        seen_with(sessions, basket=SESSION, item="wcs_item_sk", target=item_sk)
+        seen_in_session_with(
+            _clicks(t), user=USER, ts=TS, item="wcs_item_sk", target=item_sk, timeout=timeout
+        )
         .select(
             F.col("wcs_item_sk").alias("item_sk_1"),
             F.lit(item_sk).cast("long").alias("item_sk_2"),

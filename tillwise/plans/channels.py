@@ -196,14 +196,15 @@ def q16(t, *, date="2001-03-16", days=30, limit=100) -> DataFrame:
     around = days_around(t["date_dim"], date, days)
     # A line joins once per refund of its order and item. One row per order and item,
     # holding the number of refunds and their sum, gives the same total.
-    refunds = t["web_returns"].groupBy("wr_order_number", "wr_item_sk").agg(
+    # Only refunds of lines sold around the date are grouped.
+    sold = t["web_sales"].join(around, F.col("ws_sold_date_sk") == F.col("d_date_sk"))
+    lines = sold.select(F.col("ws_order_number").alias("wr_order_number"), F.col("ws_item_sk").alias("wr_item_sk"))
+    refunds = t["web_returns"].join(lines, ["wr_order_number", "wr_item_sk"], "left_semi").groupBy("wr_order_number", "wr_item_sk").agg(
         F.count(F.lit(1)).alias("refunds"),
         F.sum(F.coalesce("wr_refunded_cash", F.lit(0))).alias("refunded"),
     )
     sales = (
-        t["web_sales"]
-        .join(around, F.col("ws_sold_date_sk") == F.col("d_date_sk"))
-        .join(
+        sold.join(
             refunds,
             (F.col("ws_order_number") == F.col("wr_order_number"))
             & (F.col("ws_item_sk") == F.col("wr_item_sk")),
@@ -272,25 +273,42 @@ def rebought_quantities(t, sold: DataFrame, returned: DataFrame, rebought: DataF
 
     A row-by-row join repeats every quantity once per matching row of the other two
     sides. Here each side is one row per key with its number of rows, and the
-    repetition is a multiplication.
+    repetition is a multiplication. Returns are by far the smallest side, so sales are
+    reduced to their keys before they are grouped.
     """
-    returned = returned.groupBy(
-        F.col("sr_ticket_number").alias("ticket"),
-        F.col("sr_item_sk").alias("item_sk"),
-        F.col("sr_customer_sk").alias("customer_sk"),
-    ).agg(F.count(F.lit(1)).alias("n_r"), F.sum("sr_return_quantity").alias("q_r"))
-    sold = sold.groupBy(
-        F.col("ss_ticket_number").alias("ticket"),
-        F.col("ss_item_sk").alias("item_sk"),
-        F.col("ss_customer_sk").alias("customer_sk"),
-        F.col("ss_store_sk").alias("store_sk"),
-    ).agg(F.count(F.lit(1)).alias("n_s"), F.sum("ss_quantity").alias("q_s"))
-    rebought = rebought.groupBy(
-        F.col("ws_item_sk").alias("item_sk"), F.col("ws_bill_customer_sk").alias("customer_sk")
-    ).agg(F.count(F.lit(1)).alias("n_w"), F.sum("ws_quantity").alias("q_w"))
+    line, buyer = ["ticket", "item_sk", "customer_sk"], ["item_sk", "customer_sk"]
+    returned = (
+        returned.groupBy(
+            F.col("sr_ticket_number").alias("ticket"),
+            F.col("sr_item_sk").alias("item_sk"),
+            F.col("sr_customer_sk").alias("customer_sk"),
+        )
+        .agg(F.count(F.lit(1)).alias("n_r"), F.sum("sr_return_quantity").alias("q_r"))
+        .dropna(subset=line)
+    )
+    sold = (
+        sold.select(
+            F.col("ss_ticket_number").alias("ticket"),
+            F.col("ss_item_sk").alias("item_sk"),
+            F.col("ss_customer_sk").alias("customer_sk"),
+            F.col("ss_store_sk").alias("store_sk"),
+            "ss_quantity",
+        )
+        .join(returned.select(*line), line, "left_semi")
+        .groupBy(*line, "store_sk")
+        .agg(F.count(F.lit(1)).alias("n_s"), F.sum("ss_quantity").alias("q_s"))
+    )
+    rebought = (
+        rebought.select(
+            F.col("ws_item_sk").alias("item_sk"), F.col("ws_bill_customer_sk").alias("customer_sk"), "ws_quantity"
+        )
+        .join(returned.select(*buyer), buyer, "left_semi")
+        .groupBy(*buyer)
+        .agg(F.count(F.lit(1)).alias("n_w"), F.sum("ws_quantity").alias("q_w"))
+    )
     return (
-        sold.join(returned, ["ticket", "item_sk", "customer_sk"])
-        .join(rebought, ["item_sk", "customer_sk"])
+        sold.join(returned, line)
+        .join(rebought, buyer)
         .join(t["store"], F.col("store_sk") == F.col("s_store_sk"))
         .join(t["item"], F.col("item_sk") == F.col("i_item_sk"))
         .groupBy(

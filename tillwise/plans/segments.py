@@ -37,10 +37,11 @@ def q05_features(t, *, category="Movies & TV", education=COLLEGE, gender="M") ->
     )
 
 
-def q05(t, *, threshold: float | None = None, **features) -> DataFrame:
+def q05(t, *, threshold: float | None = None, iterations=20, tolerance=1e-5, **features) -> DataFrame:
     """Quality of a classifier for interest in a category."""
     return interest_classifier(
-        q05_features(t, **features), count="clicks_in_category", threshold=threshold
+        q05_features(t, **features), count="clicks_in_category", threshold=threshold,
+        iterations=iterations, tolerance=tolerance,
     )
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillwise.functions.expressions import SECONDS_PER_DAY
+from tillwise.session import durable
 
 CHUNK = "_chunk"
 
@@ -109,6 +110,57 @@ def session_totals(
     )
 
 
+def seen_in_session_with(
+    clicks: DataFrame,
+    *,
+    user: str,
+    ts: str,
+    item: str,
+    target: int,
+    timeout: int,
+    chunk_seconds: int = SECONDS_PER_DAY,
+) -> DataFrame:
+    """(item, cnt): number of sessions that hold both the item and ``target``.
+
+    The clicks are shuffled once. The parts of sessions, with their distinct items (as
+    many as a user sees in one chunk), are written to the checkpoint folder; sessions are
+    numbered on the parts' times alone, so no user's items meet in one task.
+    """
+    clicks = clicks.select(user, ts, item).filter(F.col(user).isNotNull() & F.col(item).isNotNull())
+    # Sessions belong to one user, so other users' clicks cannot contribute.
+    viewers = clicks.filter(F.col(item) == target).select(user).distinct()
+    parts = durable(
+        _break_up(clicks.join(viewers, user, "left_semi"), user, ts, timeout, chunk_seconds)
+        .groupBy(user, CHUNK, "_piece")
+        .agg(
+            F.min(ts).alias("_first"),
+            F.max(ts).alias("_last"),
+            F.max(F.col(item) == target).alias("_has"),
+            F.collect_set(item).alias("_items"),
+        )
+    )
+    per_user = Window.partitionBy(user).orderBy(CHUNK, "_piece")
+    before = F.lag("_last").over(per_user)
+    opened = F.when(before.isNull() | (F.col("_first") - before > timeout), 1).otherwise(0)
+    so_far = per_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    holding = (
+        parts.select(user, CHUNK, "_piece", "_first", "_last", "_has")
+        .withColumn("_opened", opened)
+        .withColumn("session_no", F.sum("_opened").over(so_far))
+        .withColumn("_has", F.max("_has").over(Window.partitionBy(user, "session_no")))
+        .filter("_has")
+        .select(user, CHUNK, "_piece", "session_no")
+    )
+    return (
+        parts.join(holding, [user, CHUNK, "_piece"])
+        .select(user, "session_no", F.explode("_items").alias(item))
+        .filter(F.col(item) != target)
+        .distinct()
+        .groupBy(item)
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    )
+
+
 def last_views_before_purchase(
     clicks: DataFrame,
     *,
@@ -123,6 +175,9 @@ def last_views_before_purchase(
 ) -> DataFrame:
     """(purchased_item, lastviewed_item) rows: for each sale of ``purchased``, the
     user's last ``views`` clicks of any kind that are at most ``within_seconds`` old.
+
+    The clicks are shuffled and ordered once; the sales and the last clicks of every chunk
+    are written to the checkpoint folder.
     """
     clicks = clicks.select(user, ts, item, sale).filter(
         F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(ts).isNotNull()
@@ -142,15 +197,22 @@ def last_views_before_purchase(
 
     # The last `views` clicks of every chunk are all that later chunks can see.
     first_kept = F.greatest(F.lit(1), F.col("_rows") - views + 1)
+    kept = durable(
+        local.select(
+            user, CHUNK, ts, item, "_row", first_kept.alias("_from"), is_purchase.alias("_bought"),
+            F.when(is_purchase, F.col("_seen")).alias("_seen"),
+        ).filter(F.col("_bought") | (F.col("_row") >= F.col("_from")))
+    )
     per_user = Window.partitionBy(user).orderBy(CHUNK, "_row").rowsBetween(-views, -1)
     carried = (
-        local.filter(F.col("_row") >= first_kept)
+        kept.filter(F.col("_row") >= F.col("_from"))
+        .select(user, CHUNK, ts, item, "_row", "_from")
         .withColumn("_carry", F.collect_list(seen).over(per_user))
-        .filter(F.col("_row") == first_kept)
+        .filter(F.col("_row") == F.col("_from"))
         .select(user, CHUNK, "_carry")
     )
     return (
-        local.filter(is_purchase)
+        kept.filter("_bought")
         .join(carried, [user, CHUNK])
         .withColumn("_all", F.concat("_carry", "_seen"))
         .withColumn(
