@@ -487,9 +487,9 @@ SQL |= {
          h / nullif(CAST(was AS DOUBLE), 0) AS recall,
          CASE WHEN h > 0 THEN 2.0 * h / (said + was) END AS f1, hits / nullif(CAST(n AS DOUBLE), 0) AS accuracy FROM hit""",
     "seen_with": """
-  SELECT a.inv_item_sk, count(DISTINCT a.inv_date_sk) AS cnt
-  FROM inventory a JOIN inventory b ON a.inv_date_sk = b.inv_date_sk
-  WHERE b.inv_item_sk = 69 AND a.inv_item_sk <> 69 GROUP BY a.inv_item_sk""",
+  SELECT a.ws_item_sk, count(DISTINCT a.ws_bill_customer_sk) AS cnt
+  FROM web_sales a JOIN web_sales b ON a.ws_bill_customer_sk = b.ws_bill_customer_sk
+  WHERE b.ws_item_sk = 69 AND a.ws_item_sk <> 69 GROUP BY a.ws_item_sk""",
     "delimited_output": r"""
   SELECT concat_ws(',', ws_order_number, ws_item_sk, coalesce(CAST(ws_warehouse_sk AS VARCHAR), '\N'),
                    coalesce(CAST(ws_quantity AS VARCHAR), '\N'),

@@ -177,7 +177,7 @@ def _cluster_centers(t) -> DataFrame:
 
 
 def _seen_with(t) -> DataFrame:
-    return baskets.seen_with(t["inventory"], basket=["inv_date_sk"], item="inv_item_sk", target=ITEM)
+    return baskets.seen_with(t["web_sales"], basket=["ws_bill_customer_sk"], item="ws_item_sk", target=ITEM)
 
 
 def _classifier_facts(t) -> DataFrame:

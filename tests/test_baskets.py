@@ -33,7 +33,7 @@ def test_make_pairs(spark, items, pairs):
 
 
 @pytest.mark.parametrize("min_count", [0, 1, 3, 8])
-@pytest.mark.parametrize(("block", "huge"), [(256, 4096), (3, 10), (1, 2), (5, 1000)])
+@pytest.mark.parametrize(("block", "huge"), [(256, 4096), (3, 10), (1, 2), (5, 1000), (4, None)])
 def test_frequent_pairs_is_exact(spark, min_count, block, huge):
     """Some baskets hold nearly every item, with repeats."""
     rnd = random.Random(min_count)

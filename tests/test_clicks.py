@@ -3,11 +3,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tillwise.operators.baskets import seen_with
 from tillwise.streaming import (
     abandoned_carts,
     abandoned_sessions,
     last_views_before_purchase,
     sales_after_page,
+    seen_in_session_with,
     session_totals,
     sessionize,
 )
@@ -189,3 +191,15 @@ def test_session_totals_shuffle_the_clicks_once(spark):
     assert "Join" not in plan
     final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_seen_in_session_with(spark, seed):
+    """As sessions and their items counted apart; the clicks are written in parts once."""
+    df = spark.createDataFrame(random_clicks(seed), CLICKS)
+    sessions = sessionize(df.filter("item IS NOT NULL"), user="user", ts="ts", timeout=20, chunk_seconds=50)
+    expected = seen_with(sessions, basket=["user", "session_no"], item="item", target=2)
+    found = seen_in_session_with(
+        df, user="user", ts="ts", item="item", target=2, timeout=20, chunk_seconds=50
+    )
+    assert rows(found, "item", "cnt") == rows(expected, "item", "cnt") != []

@@ -1,5 +1,8 @@
 """Edge cases of whole queries on hand-made tables."""
 
+import math
+import random
+from collections import Counter
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -7,7 +10,14 @@ import pytest
 
 from tillwise import ParquetTables, plans
 from tillwise.operators.features import return_behaviour, split_by_id
-from tillwise.operators.models import cluster, interest_classifier, review_classifier
+from tillwise.operators.models import (
+    Clusters,
+    classifier_facts,
+    cluster,
+    cluster_facts,
+    interest_classifier,
+    review_classifier,
+)
 from tillwise.operators.statistics import correlation, linear_fit, variation
 from tillwise.sources import write_delimited
 from tillwise.sources.schemas import SCHEMAS
@@ -216,6 +226,73 @@ def test_clusters_cover_all_rows(spark):
     assert result.cost == again.cost >= 0
 
 
+def test_cluster_facts_see_wrong_clusters(spark):
+    rows = [(i, float(i % 4 * 100), float(i % 4)) for i in range(200)]
+    features = spark.createDataFrame(rows, "id long, a double, b double")
+    result = cluster(features, key="id", k=4, seed=3)
+    right = cluster_facts(features, result, key="id").first()
+    assert tuple(right[c] for c in ("n_rows", "n_keys", "n_sized")) == (200, 200, 200)
+    assert right["misplaced"] == right["off_center"] == 0 and right["cost_agrees"]
+    k = result.centers.count()
+    assert k > 1
+    moved = result.assignments.selectExpr("id", f"cast((cluster + 1) % {k} as int) as cluster")
+    wrong = cluster_facts(features, Clusters(moved, result.centers, result.cost + 5), key="id").first()
+    assert wrong["misplaced"] > 0 and wrong["off_center"] > 0 and not wrong["cost_agrees"]
+
+
+def test_classifier_facts(spark):
+    rows = [(i % 10, (i * 7) % 3, (i * i) % 11) for i in range(300)]
+    features = spark.createDataFrame(rows, "clicks long, male long, other long")
+    quality = interest_classifier(features, count="clicks", threshold=6, iterations=200, tolerance=1e-10)
+    row = classifier_facts(quality).first()
+    assert (row["negatives"], row["positives"]) == (210, 90)
+    assert row["accuracy_agrees"] and row["better_than_chance"] and row["calibrated"]
+
+
+def naive_bayes(train, text, smoothing):
+    """Class by plain loops."""
+    counts = {c: Counter(w for l, t in train if l == c for w in t.lower().split()) for c, _ in train}
+    vocabulary = set().union(*counts.values())
+
+    def log(v):
+        return math.log(v) if v > 0 else -math.inf
+
+    def score(c):
+        whole = log(sum(counts[c].values()) + smoothing * len(vocabulary))
+        docs = sum(l == c for l, _ in train)
+        prior = log(docs + smoothing) - log(len(train) + smoothing * len(counts))
+        return prior + sum(log(counts[c][w] + smoothing) - whole for w in text.lower().split() if w in vocabulary)
+
+    return max(sorted(counts), key=lambda c: round(score(c), 9))
+
+
+@pytest.mark.parametrize("smoothing", [0.0, 0.3, 1.0])
+def test_review_classes_equal_a_plain_naive_bayes(spark, smoothing):
+    rnd = random.Random(4)
+    rating_of = {"NEG": 1, "NEUT": 3, "POS": 5}
+    train = [(rnd.choice(list(rating_of)), " ".join(rnd.choices("abcdefghijk", k=rnd.randrange(1, 9)))) for _ in range(60)]
+    train += [(c, "A b c d e f g h i j K") for c in rating_of]
+    tests = [" ".join(rnd.choices("abcdefghijkxyz", k=rnd.randrange(0, 12))) for _ in range(40)] + ["", "zz zz"]
+    schema = "id long, rating int, body string"
+    result = review_classifier(
+        spark.createDataFrame([(i, rating_of[c], t) for i, (c, t) in enumerate(train)], schema),
+        spark.createDataFrame([(i, 3, t) for i, t in enumerate(tests)] + [(99, 5, None)], schema),
+        key="id", rating="rating", text="body", smoothing=smoothing,
+    )
+    classes = {r["review_sk"]: r["class"] for r in result.predictions.collect()}
+    assert classes.pop(99) == naive_bayes(train, "", smoothing)
+    assert classes == {i: naive_bayes(train, t, smoothing) for i, t in enumerate(tests)}
+
+
+def test_word_unseen_in_a_class_rules_it_out(spark):
+    schema = "id long, rating int, body string"
+    train = spark.createDataFrame([(1, 1, "bad bad bad"), (2, 5, "good thing"), (3, 5, "good")], schema)
+    test = spark.createDataFrame([(10, 5, "bad bad"), (20, 1, "good"), (30, 1, "new")], schema)
+    result = review_classifier(train, test, key="id", rating="rating", text="body", smoothing=0.0)
+    found = {r["review_sk"]: r["class"] for r in result.predictions.collect()}
+    assert found == {10: "NEG", 20: "POS", 30: "POS"}
+
+
 def test_interest_classifier_counts(spark):
     rows = [(i % 10, i % 2, (i % 10) * 2) for i in range(100)]
     row = interest_classifier(

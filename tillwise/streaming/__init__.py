@@ -3,6 +3,7 @@ from tillwise.streaming.clicks import (
     abandoned_sessions,
     last_views_before_purchase,
     sales_after_page,
+    seen_in_session_with,
     session_totals,
     sessionize,
 )
@@ -12,6 +13,7 @@ __all__ = [
     "abandoned_sessions",
     "last_views_before_purchase",
     "sales_after_page",
+    "seen_in_session_with",
     "session_totals",
     "sessionize",
 ]
