@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,17 +51,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_OWNED: ContextVar[list[DataFrame] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def intermediates() -> Iterator[None]:
+    """Owner of the tables that ``durable`` writes inside the block; they are deleted when it
+    ends, also by an error. Read or write the results inside it::
+
+        with intermediates():
+            plans.q18(tables).write.parquet(...)
+    """
+    owned: list[DataFrame] = []
+    outer = _OWNED.set(owned)
+    try:
+        yield
+    finally:
+        _OWNED.reset(outer)
+        for table in owned:
+            release(table)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it from there.
 
     Later steps neither recompute it nor lose it with an executor, and Catalyst knows
-    its true size, so it broadcasts the table only if it is small.
+    its true size, so it broadcasts the table only if it is small. ``intermediates``
+    deletes it; without it the table stays.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.durable_path = path
+    if (owned := _OWNED.get()) is not None:
+        owned.append(table)
     return table
 
 

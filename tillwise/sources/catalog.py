@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tillwise.sources.schemas import SCHEMAS
 
@@ -10,8 +11,9 @@ from tillwise.sources.schemas import SCHEMAS
 class ParquetTables:
     """Parquet tables under one folder: ``tables["item"]`` reads ``<root>/item``.
 
-    A table the queries use is read with its declared schema, so nothing is inferred
-    and a missing file column shows as NULL; any other table as its files declare it.
+    The files say which columns there are and of which type, read from one footer. Columns
+    the queries need have their declared type, and are NULL where the files lack them; all
+    other columns of the files are there too, for queries of your own.
     """
 
     def __init__(self, spark: SparkSession, root: str, suffix: str = ""):
@@ -20,7 +22,11 @@ class ParquetTables:
         self.suffix = suffix
 
     def __getitem__(self, name: str) -> DataFrame:
-        reader = self.spark.read
-        if name in SCHEMAS:
-            reader = reader.schema(SCHEMAS[name])
-        return reader.parquet(f"{self.root}/{name}{self.suffix}")
+        path = f"{self.root}/{name}{self.suffix}"
+        found = self.spark.read.parquet(path)
+        if name not in SCHEMAS:
+            return found
+        declared = StructType.fromDDL(SCHEMAS[name])
+        known = {f.name.lower() for f in declared}
+        others = [f for f in found.schema if f.name.lower() not in known]
+        return self.spark.read.schema(StructType([*declared, *others])).parquet(path)

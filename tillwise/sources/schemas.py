@@ -1,7 +1,7 @@
 """Columns the queries read from each retail table.
 
 Fixed values: table and column names and types. Columns no query reads are not
-listed; the parquet reader never fetches them.
+listed; ``ParquetTables`` takes them from the files.
 """
 
 SCHEMAS = {
