@@ -402,6 +402,22 @@ def test_passages_in_a_hot_line(spark):
     assert {r.doc_id for r in rows} == set(range(100, 105)) and len({r.class_id for r in rows}) == 1
 
 
+def test_recall_of_short_near_copies(spark):
+    """Passages of 50 to 80 words with one other word, at or above the least similarity."""
+    own, docs = random.Random(61), []
+    for k in range(200):
+        words_in = prose(50 + k % 31, 20_000 + k).split(" ")
+        docs.append((2 * k, f"{prose(120, 30_000 + k)} {' '.join(words_in)} {prose(120, 40_000 + k)}"))
+        words_in[own.randrange(15, 35)] += "x"
+        docs.append((2 * k + 1, f"{prose(120, 50_000 + k)} {' '.join(words_in)} {prose(120, 60_000 + k)}"))
+    rows = substring_dedup.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    classes = collections.defaultdict(set)
+    for r in rows:
+        classes[r.class_id, r.class_start_word].add(r.doc_id)
+    lost = [k for k in range(200) if {2 * k, 2 * k + 1} not in classes.values()]
+    assert not lost
+
+
 def test_links_of_a_key_cross_tasks(spark):
     rows = [(7, d, 10, 5, 5) for d in range(200)] + [(k, k, 1, 1, 1) for k in range(100, 300)]
     df = spark.createDataFrame(rows, "key long, doc long, at int, before int, after int").repartition(5)
