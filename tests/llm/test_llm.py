@@ -418,6 +418,26 @@ def test_recall_of_short_near_copies(spark):
     assert not lost
 
 
+def test_parts_of_near_copies_in_another_order():
+    own = np.random.default_rng(9)
+
+    def near(run):
+        out = run.copy()
+        out[[25, 26, 27, 28, 29]] = own.integers(0, 1 << 63, 5, np.uint64)
+        return out
+
+    one, two, more, gap = (own.integers(0, 1 << 63, n, np.uint64) for n in (70, 70, 20, 200))
+    for mine, other, want in (
+        (np.concatenate((one, two)), np.concatenate((near(two), gap, near(one))), [(0, 70), (70, 140)]),
+        (np.concatenate((one, two)), np.concatenate((near(two), near(one))), [(0, 70), (70, 140)]),
+        (np.concatenate((one, more)), np.concatenate((more, gap, near(one))), [(0, 70)]),
+        (one, np.concatenate((one[:30], gap, near(one))), [(0, 70)]),
+    ):
+        found = substring_dedup.shared_parts(mine, other, 46, 0.8)
+        for low, high in want:
+            assert any(abs(a - low) <= 5 and abs(b - high) <= 5 for a, b, *_ in found), (low, high, found)
+
+
 def test_links_of_a_key_cross_tasks(spark):
     rows = [(7, d, 10, 5, 5) for d in range(200)] + [(k, k, 1, 1, 1) for k in range(100, 300)]
     df = spark.createDataFrame(rows, "key long, doc long, at int, before int, after int").repartition(5)
