@@ -438,6 +438,21 @@ def test_parts_of_near_copies_in_another_order():
             assert any(abs(a - low) <= 5 and abs(b - high) <= 5 for a, b, *_ in found), (low, high, found)
 
 
+def test_all_places_of_a_signature(spark):
+    """Every place of a passage has its windows, and each is linked."""
+    text = prose(50, 8000)
+    docs = [(1, f"{prose(90, 8001)} {text} {prose(90, 8002)} {text} {prose(90, 8003)}"), (2, f"{prose(70, 8004)} {text}")]
+    named = spark.createDataFrame(docs, "doc long, text string")
+    rows = substring_dedup.window_rows(named, 46, range(substring_dedup.PAIRS))
+    places = collections.defaultdict(set)
+    for r in rows.collect():
+        places[r.key].add((r.doc, r.at))
+    whole = [v for v in places.values() if len(v) == 3]
+    assert len(whole) >= substring_dedup.PAIRS  # at least the window of the whole passage
+    linked = {(r.doc, r.at) for r in substring_dedup.stars(rows).collect()}
+    assert all(len(v - linked) == 1 and min(v) not in linked for v in whole)
+
+
 def test_links_of_a_key_cross_tasks(spark):
     rows = [(7, d, 10, 5, 5) for d in range(200)] + [(k, k, 1, 1, 1) for k in range(100, 300)]
     df = spark.createDataFrame(rows, "key long, doc long, at int, before int, after int").repartition(5)
