@@ -453,6 +453,20 @@ def test_all_places_of_a_signature(spark):
     assert all(len(v - linked) == 1 and min(v) not in linked for v in whole)
 
 
+def test_near_copies_around_a_hot_line(spark):
+    """A line that all documents hold, in unlike surroundings, hides no near copy."""
+    line = prose(44, 50)
+    docs = [(i, f"{prose(40, 2100 + i)} {line} {prose(40, 2500 + i)}") for i in range(60)]
+    for k in range(60):
+        words_in = f"{prose(3, 9000 + 2 * k)} {line} {prose(3, 9001 + 2 * k)}".split(" ")
+        docs.append((100 + 2 * k, f"{prose(40, 3000 + k)} {' '.join(words_in)} {prose(40, 3100 + k)}"))
+        words_in[20 + k % 10] += "x"
+        docs.append((101 + 2 * k, f"{prose(40, 3200 + k)} {' '.join(words_in)} {prose(40, 3300 + k)}"))
+    rows = substring_dedup.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = {r.doc_id for r in rows}
+    assert not [i for i in range(100, 220) if i not in got]
+
+
 def test_links_of_a_key_cross_tasks(spark):
     rows = [(7, d, 10, 5, 5) for d in range(200)] + [(k, k, 1, 1, 1) for k in range(100, 300)]
     df = spark.createDataFrame(rows, "key long, doc long, at int, before int, after int").repartition(5)
