@@ -349,6 +349,25 @@ def test_pretokens_are_the_librarys():
             assert ids[first[i] : first[i + 1]].tolist() == want, repr(texts[piece.first + i])
 
 
+def test_added_tokens_are_the_librarys():
+    """The library as it comes: strings of added tokens in a text are those tokens."""
+    import pyarrow as pa
+
+    from tillwise.llm.tokens import Tokenizer
+
+    theirs = pytest.importorskip("tokenizers").Tokenizer.from_file(registry.tokenizer_path())
+    own = random.Random(10)
+    parts = ["<|endoftext|>", "<|endoftext|", "<|", "|>", "endoftext", " ", "  ", "a", "'s", "\n", "東", "1"]
+    texts = ["<|endoft", "ext|>", "", "x <|endoftext|> y", "<|endoftext|>"]
+    texts += ["".join(own.choice(parts) for _ in range(own.randrange(12))) for _ in range(2000)]
+    mine = Tokenizer(registry.tokenizer_path())
+    for piece in words.pieces(pa.array(texts), 1 << 12):
+        ids, first = mine.encode(piece)
+        for i in range(len(piece)):
+            want = theirs.encode(texts[piece.first + i], add_special_tokens=False).ids
+            assert ids[first[i] : first[i + 1]].tolist() == want, repr(texts[piece.first + i])
+
+
 def test_local_search_empties_bins():
     lengths = np.array([6, 5, 5, 4, 4, 3, 3])
     bins = packing.LocalSearch(lengths, [[0, 5], [1, 6], [2], [3, 4]], 10).run()
