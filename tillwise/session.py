@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -94,3 +95,11 @@ def release(table: DataFrame) -> None:
     spark = table.sparkSession
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.durable_path)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let the driver forget what nothing refers to any more. Spark deletes the shuffle files of
+    finished jobs only then, which many rounds of a job would pile up until the driver
+    happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
