@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import (
-    decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, sharding, substring_dedup,
-    toxicity, warc,
+    decontaminate, jaccard_join, line_dedup, packing, periodic_runs, quality_classifier, quality_rules, sharding, spelling,
+    substring_dedup, suffix_dedup, toxicity, warc,
 )
 from tillwise.llm.shared import configure_texts, fold, table
 from tillwise.llm.sql import ORACLE
@@ -77,10 +77,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_digests(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(spelling.vocabulary(spelling.spelled_runs(table(spark, sf_dir, "documents"))))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(periodic_runs.with_planted_periods(table(spark, sf_dir, "documents")))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_toxicity, op2_decontamination, op3_sharding, op4_quality_rules, op5_packing, op6_substring_dedup, op7_jaccard_join,
-        op8_quality, op9_line_dedup, op10_warc,
+        op8_quality, op9_line_dedup, op10_warc, op11_spelling, op12_periodic_runs, op13_suffix_dedup,
     )
 }
 

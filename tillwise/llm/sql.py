@@ -112,4 +112,73 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM failing f LEFT JOIN judged USING (doc_id)
 """
 
-ORACLE = {"op4_quality_rules": QUALITY_RULES, "op9_line_dedup": LINES, "op10_warc": WARC}
+#: A CRC-32 by its rule: eight steps for each byte value, then a table walk over the bytes.
+SPELLING = r"""
+WITH RECURSIVE steps(byte, crc, step) AS (
+    SELECT range, range::BIGINT, 0 FROM range(256)
+    UNION ALL
+    SELECT byte, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, step + 1 FROM steps WHERE step < 8
+), crcs AS (SELECT list(crc ORDER BY byte) AS t FROM steps WHERE step = 8),
+runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), counted AS (
+    SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS k, run, count(*) AS c FROM runs GROUP BY ALL
+), hashed AS (
+    SELECT run, c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               range(strlen(k)), lambda i: ('0x' || substr(hex(k), 2 * i::INT + 1, 2))::BIGINT)),
+               lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+    FROM counted, crcs
+), words AS MATERIALIZED (
+    SELECT word, sum(c)::BIGINT AS n FROM (
+        SELECT c, CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                  ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+), gaps AS MATERIALIZED (
+    SELECT word, n, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS MATERIALIZED (
+    SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b USING (i, rest) WHERE a.word <> b.word
+    UNION SELECT a.word, a.n, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, b.n, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT word, n, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+           row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place FROM near
+), formed AS MATERIALIZED (
+    SELECT w.word, CASE WHEN near_n >= 10 * w.n THEN near END AS form, w.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word AND place = 1
+), chains(word, reached, step) AS (
+    SELECT word, word, 0 FROM formed
+    UNION ALL SELECT c.word, f.form, step + 1 FROM chains c JOIN formed f ON c.reached = f.word WHERE f.form IS NOT NULL
+), roots AS (SELECT word, max_by(reached, step) AS root FROM chains GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
+SUFFIXES = """
+WITH texts AS (
+    SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), windows AS (
+    SELECT rid, i, md5(b[i + 1 : i + 200]) AS v
+    FROM (SELECT rid, b, unnest(range(greatest(octet_length(b) - 199, 0))) AS i FROM texts)
+), repeated AS (
+    SELECT rid, i, i > coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i) + 200, -1) AS opens
+    FROM (SELECT rid, i, count(*) OVER (PARTITION BY v) AS times FROM windows) WHERE times > 1
+), spans AS (
+    SELECT rid, min(i) AS a, max(i) + 200 AS z
+    FROM (SELECT rid, i, sum(opens::INT) OVER (PARTITION BY rid ORDER BY i) AS span FROM repeated) GROUP BY rid, span
+), kept AS (
+    SELECT rid, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 0) AS a, a AS z
+    FROM (SELECT * FROM spans UNION ALL SELECT rid, octet_length(b), octet_length(b) FROM texts)
+)
+SELECT doc_id, any_value(octet_length(b)) AS n_bytes, any_value(octet_length(b)) - sum(z - k.a)::BIGINT AS n_removed,
+       any_value(coalesce(n, 0)) AS n_spans,
+       sha256(unhex(string_agg(hex(b[k.a + 1 : z]), '' ORDER BY k.a, z))) AS kept_sha256
+FROM texts JOIN kept k USING (rid) LEFT JOIN (SELECT rid, count(*) AS n FROM spans GROUP BY rid) USING (rid)
+GROUP BY rid, doc_id
+"""
+
+ORACLE = {
+    "op4_quality_rules": QUALITY_RULES, "op9_line_dedup": LINES, "op10_warc": WARC, "op11_spelling": SPELLING,
+    "op13_suffix_dedup": SUFFIXES,
+}
