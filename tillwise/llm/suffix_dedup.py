@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm.words import Powers, list_array, map_batches, mix, pieces, ragged, span_hashes
-from tillwise.session import drop_shuffles, durable, release
+from tillwise.session import drop_shuffles, durable
 
 LENGTH = 200
 HEAD, TAIL = np.uint64(0x6A09E667F3BCC909), np.uint64(0xBB67AE8584CAA73B)
 PLACE = np.uint64((1 << 40) - 1)
+SPOT_BITS = 41
 
 
 def smallest_grams(data: np.ndarray, offsets: np.ndarray, length: int, powers: Powers):
@@ -102,92 +103,91 @@ def _parsed(docs: DataFrame, length: int) -> DataFrame:
     return map_batches(texts, "digest string, n_bytes bigint, at array<bigint>, name array<bigint>", make)
 
 
-def ranked(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The rows whose ``keys`` (numbers) occur more than once, with ``rank``, the same number for
-    equal keys, and ``opens``, true for one row of each rank. The result is a written table
-    that the caller may ``release``.
+def ranked(rows: DataFrame, keys: list[str], order: list[str], high_bits: int = 0) -> DataFrame:
+    """The rows whose ``keys`` (numbers) occur more than once, without them, with ``rank``, the same
+    number for equal keys, and ``opens``, true for one row of each rank. With ``high_bits``,
+    the last key is what its column holds above so many bits, and that column stays.
 
     Rows are sorted by keys and ``order`` over range partitions, so that one key may fill
     many of them. A task numbers the rows of its partition, and says of the first and the last
-    key what number and how many rows they got there: two rows a partition, which tell
-    what number a key has that several partitions share.
+    key what number and how many rows they got there. These two rows a partition are put
+    together on the driver; they tell what number a key has that several partitions share.
     """
-    names = rows.columns
+    spark = rows.sparkSession
+    kept = [c for c in rows.columns if c not in keys or (high_bits and c == keys[-1])]
     schema = ", ".join(
-        [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema]
-        + ["rank bigint", "opens boolean", "size bigint"]
+        [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in kept]
+        + ["rank bigint", "opens boolean", "size bigint"] + [f"key{i} bigint" for i in range(len(keys))]
     )
-
-    def out(batch, ranks, opens, size=None):
-        size = pa.nulls(len(ranks), pa.int64()) if size is None else pa.array([size], pa.int64())
-        columns = [batch.column(f) for f in names]
-        return pa.RecordBatch.from_arrays(
-            [*columns, pa.array(ranks, pa.int64()), pa.array(opens), size], names=[*names, "rank", "opens", "size"]
-        )
+    kinds = [pa.int64(), pa.bool_(), pa.int64()] + [pa.int64()] * len(keys)
+    names = ["rank", "opens", "size"] + [f"key{i}" for i in range(len(keys))]
 
     def number(batches):
         # Ranks are the places at which keys open; before and held: last key and last batch.
         at = open_at = 0
         first_rank = first_size = base = before = held = None
 
-        def settle(held, follows):
-            """Rows of the batch that another one equals, or may equal elsewhere."""
+        def rows_of(held, follows):
+            """Rows of the batch that another one equals, or may equal in another partition."""
             batch, ranks, opens = held
-            alone = opens & np.append(opens[1:], follows)
-            alone &= ranks != first_rank
-            return alone
+            alone = opens & (ranks != first_rank)
+            alone[:-1] &= opens[1:]
+            alone[-1] &= follows
+            n = len(ranks)
+            columns = [batch.column(f) for f in kept] + [pa.array(ranks), pa.array(opens)]
+            columns += [pa.nulls(n, pa.int64())] * (1 + len(keys))
+            return pa.RecordBatch.from_arrays(columns, names=[*kept, *names]).filter(pa.array(~alone))
+
+        def summary(row, *values):
+            columns = [row.column(f) for f in kept] + [pa.array([v], k) for v, k in zip(values, kinds)]
+            return pa.RecordBatch.from_arrays(columns, names=[*kept, *names])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             values = [batch.column(k).to_numpy() for k in keys]
+            values[-1] = values[-1] >> high_bits
             opens = np.ones(batch.num_rows, bool)
             opens[1:] = np.any([v[1:] != v[:-1] for v in values], axis=0)
             if before is not None:
                 opens[0] = any(v[0] != b for v, b in zip(values, before))
             else:
                 base = int(batch.column(batch.num_columns - 1)[0].as_py()) << 40
-                first_rank, first_row = base, batch.slice(0, 1)
-            before = [v[-1] for v in values]
+                first_rank, first_row, first_key = base, batch.slice(0, 1), [int(v[0]) for v in values]
+            before = [int(v[-1]) for v in values]
             place = np.arange(at, at + batch.num_rows)
             ranks = np.maximum.accumulate(np.where(opens, place, open_at)) + base
             at, open_at = at + batch.num_rows, int(ranks[-1]) - base
             if first_size is None and open_at > 0:
                 first_size = int(place[np.argmax(ranks != base)])
             if held is not None:
-                yield out(*held).filter(pa.array(~settle(held, opens[0])))
+                yield rows_of(held, opens[0])
             held = batch, ranks, opens
         if held is None:
             return
-        batch, ranks, opens = held
-        alone = settle(held, True)
-        alone[-1] = False
-        yield out(*held).filter(pa.array(~alone))
-        yield out(first_row, [base], [False], first_size if first_size is not None else at)
+        yield rows_of(held, False)
+        yield summary(first_row, base, False, at if first_size is None else first_size, *first_key)
         if first_size is not None:
-            yield out(batch.slice(batch.num_rows - 1), [base + open_at], [False], at - open_at)
+            yield summary(held[0].slice(0, 1), base + open_at, False, at - open_at, *before)
 
     ordered = rows.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     found = durable(ordered.withColumn("_task", F.spark_partition_id()).mapInArrow(number, schema))
-    shared = (
-        found.filter("size IS NOT NULL")
-        .groupBy(*keys)
-        .agg(F.sum("size").alias("_total"), F.min("rank").alias("_own"), F.collect_list("rank").alias("_ranks"))
-        .select("_total", "_own", F.explode("_ranks").alias("rank"))
-    )
-    result = durable(
+    drop_shuffles(spark)
+    seen = {}
+    for row in found.filter("size IS NOT NULL").select("rank", "size", *names[3:]).collect():
+        seen.setdefault(tuple(row[2:]), []).append((row.rank, row.size))
+    shared = [(r, min(x)[0], sum(n for _, n in x)) for x in seen.values() for r, _ in x]
+    shared = spark.createDataFrame(shared, "rank bigint, _own bigint, _total bigint")
+    return (
         found.filter("size IS NULL")
         .join(F.broadcast(shared), "rank", "left")
         .filter("_total IS NULL OR _total > 1")
         .select(
-            *[c for c in names if c not in keys],
+            *kept,
             F.coalesce("_own", "rank").alias("rank"),
             (F.col("opens") & (F.col("_own").isNull() | (F.col("_own") == F.col("rank")))).alias("opens"),
         )
     )
-    release(found)
-    drop_shuffles(rows.sparkSession)
-    return result
 
 
 def _by_place(rows: DataFrame, text: str, schema: str, make) -> DataFrame:
@@ -351,8 +351,9 @@ def _text_of(packed, opener) -> np.ndarray:
 
 
 def _windows(texts: DataFrame, length: int) -> DataFrame:
-    """(name, extra, id, i): windows, by two hashes, whose smallest gram is repeated, outside of the
-    stretches known to occur again (i even) and in those they are held against (i odd)."""
+    """(name, id, spot): windows whose smallest gram is repeated, outside of the stretches known to
+    occur again (spot even) and in those they are held against (spot odd). A window goes by
+    its hash and, above SPOT_BITS of spot, by some bits of another one; spot // 2 is its place."""
 
     def make():
         powers, opener = Powers(), zstandard.ZstdDecompressor()
@@ -371,14 +372,14 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
                 kind = leads[stretch[i]].astype(np.int64)
                 name = span_hashes(data, i, i + length, powers)
                 middle = span_hashes(data, i + 1, i + length - 1, powers)
+                high = (middle >> np.uint64(SPOT_BITS + 1)).astype(np.int64) << SPOT_BITS
                 yield _emit(
-                    name=name.view(np.int64), extra=(middle >> np.uint64(32)).astype(np.int64),
-                    id=np.full(len(i), batch.column("id")[row].as_py()), i=2 * i + kind,
+                    name=name.view(np.int64), id=np.full(len(i), batch.column("id")[row].as_py()), spot=high | (2 * i + kind)
                 )
 
         return each
 
-    return map_batches(texts, "name bigint, extra bigint, id bigint, i bigint", make)
+    return map_batches(texts, "name bigint, id bigint, spot bigint", make)
 
 
 def _removed(texts: DataFrame, length: int) -> DataFrame:
@@ -439,12 +440,10 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         (F.col("_p") == F.col("_n") - 1).alias("tail"),
     )
     grams = ranked(place, ["name"], ["id", "p"])
-    ranks, rounds, t = durable(_wanted(grams, length)), [], 0
-    rows = ranks
+    rows, rounds, t = durable(_wanted(grams, length)), [], 0
     while not rows.isEmpty():
         rounds.append(ranked(_pairs(rows, t), ["a", "gap", "b"], ["id", "p"]))
         rows, t = rounds[-1].filter("m >= 0"), t + 1
-    release(ranks)
     whole = reduce(DataFrame.unionByName, [r.filter("m < 0").select("id", "p", "opens") for r in rounds],
                    grams.select("id", "p", "opens").filter("false"))
 
@@ -472,8 +471,9 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     texts = _packed(docs)
     open_texts = texts.join(state.filter("size(known) > size(whole) OR size(lead) > 0"), "digest")
-    repeated = ranked(_windows(open_texts, length), ["name", "extra"], ["id", "i"])
-    singles = repeated.filter("i % 2 = 0").groupBy("id").agg(F.collect_list(F.expr("i div 2")).alias("single"))
+    repeated = ranked(_windows(open_texts, length), ["name", "spot"], ["id"], high_bits=SPOT_BITS)
+    place = F.shiftright(F.col("spot").bitwiseAND((1 << SPOT_BITS) - 1), 1)
+    singles = repeated.filter("spot % 2 = 0").groupBy("id").agg(F.collect_list(place).alias("single"))
     none = F.array().cast("array<bigint>")
     found = state.select("digest", "id", "whole").join(singles, "id", "left").filter("size(whole) > 0 OR single IS NOT NULL")
     found = found.select("digest", "whole", F.coalesce("single", none).alias("single"))
