@@ -167,5 +167,7 @@ def with_tables(sql: str) -> str:
         return sql
     tables = ",\n".join(f"{n} AS ({RETAIL[n].strip()})" for n in needed)
     body = sql.strip()
-    own = body.upper().startswith("WITH ")
-    return f"WITH {tables}" + (f",\n{body[5:]}" if own else f"\n{body}")
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(start):
+            return f"{start}{tables},\n{body.removeprefix(start)}"
+    return f"WITH {tables}\n{body}"

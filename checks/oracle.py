@@ -112,6 +112,28 @@ NAMES = r"""
   FROM sentence"""
 FREE_NAME = "NOT (starts_with(review_sentence, company_name) AND NOT contains(company_name, ' '))"
 
+#: Known names by longest match: hits are taken or left one after the other.
+KNOWN = r"""
+  WITH RECURSIVE name AS (
+    SELECT string_split(n, ' ') AS ws FROM (VALUES ('the'), ('that'), ('orre orre'), ('ernt'), ('eaux'), ('of the'),
+      ('the and'), ('and the of'), ('in'), ('of')) AS v(n)),
+  toks AS (
+    SELECT pr_review_sk AS k, row_number() OVER () AS s, review_sentence,
+           list_filter(string_split_regex(review_sentence, '[^\p{L}\p{N}]+'), lambda w: w <> '') AS ts FROM sentence),
+  hit AS (
+    SELECT s, spot, len(ws) AS n, row_number() OVER (PARTITION BY s ORDER BY len(ws) DESC, spot) AS r
+    FROM (SELECT s, ts, unnest(range(1, len(ts) + 1)) AS spot FROM toks), name
+    WHERE lower(array_to_string(ts[spot : spot + len(ws) - 1], ' ')) = array_to_string(ws, ' ')),
+  walk(s, r, taken) AS (
+    SELECT DISTINCT s, CAST(0 AS BIGINT), CAST([] AS STRUCT(a BIGINT, z BIGINT)[]) FROM hit
+    UNION ALL
+    SELECT w.s, h.r, CASE WHEN len(list_filter(taken, lambda t: t.a < h.spot + h.n AND h.spot < t.z)) > 0 THEN taken
+                     ELSE list_append(taken, {'a': h.spot, 'z': h.spot + h.n}) END
+    FROM walk w JOIN hit h ON h.s = w.s AND h.r = w.r + 1),
+  taken AS (SELECT s, unnest(max_by(taken, r)) AS t FROM walk GROUP BY s)
+  SELECT DISTINCT ON (s, company_name) k AS pr_review_sk, company_name, review_sentence
+  FROM (SELECT s, k, review_sentence, array_to_string(ts[t.a : t.z - 1], ' ') AS company_name FROM taken JOIN toks USING (s))"""
+
 MENTIONED = """
   SELECT pr_review_sk, name
   FROM product_reviews JOIN (SELECT DISTINCT lower(s_store_name) AS name FROM store)
@@ -373,9 +395,7 @@ SQL = {
     "extract_negative_sentiment": """
   SELECT pr_review_sk, review_sentence, sentiment, sentiment_word FROM sentiment WHERE sentiment = 'NEG'""",
     "find_company": f"SELECT pr_review_sk, company_name, review_sentence FROM ({NAMES}) WHERE {FREE_NAME}",
-    "find_known_company": f"""
-  SELECT pr_review_sk, company_name, review_sentence FROM ({NAMES})
-  WHERE lower(company_name) IN ('the', 'that', 'orre orre', 'ernt', 'eaux')""",
+    "find_known_company": KNOWN,
     "mentions": MENTIONED,
     "linear_fit": f"""
   SELECT ss_store_sk, round(slope, 5) AS slope, round(intercept, 3) AS intercept

@@ -24,7 +24,7 @@ SESSION_GAP = 21600
 ITEM = 69
 ALL_DAYS = ("1995-01-01", "2001-12-31")
 LEXICON = [("er", "NEG"), ("that", "NEG"), ("den", "NEG"), ("la", "POS"), ("with", "POS")]
-KNOWN_NAMES = ["The", "That", "Orre Orre", "Ernt", "Eaux"]
+KNOWN_NAMES = ["The", "That", "Orre Orre", "Ernt", "Eaux", "of the", "the And", "and the of", "in", "of"]
 # Two days a month, and two days of one week, which then counts twice.
 RETURN_DATES = [f"{y}-{m:02}-{d}" for y in range(1995, 2002) for m in range(1, 13) for d in (10, 24)] + [
     "1997-03-12"
