@@ -191,6 +191,16 @@ def test_run_report_on_test_data(spark):
 # op13
 
 
+@pytest.fixture
+def small(spark):
+    """Small batches in partitions that stay apart, so that texts and equal keys cross them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def plain_cut(texts, length):
     bodies = [(t or "").encode() for t in texts]
     times = Counter(b[i : i + length] for b in bodies for i in range(len(b) - length + 1))
@@ -205,29 +215,20 @@ def plain_cut(texts, length):
 
 
 @pytest.mark.parametrize("length", [200, 20])
-def test_repeated_spans(spark, odd, length, monkeypatch):
-    # Small batches, so that texts and equal keys cross them.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
-    try:
-        rows = odd.select("doc_id", "text").collect()
-        want = Counter((r.doc_id, *cut) for r, cut in zip(rows, plain_cut([r.text for r in rows], length)))
-        found = suffix_dedup.repeated_spans(odd, length=length).collect()
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+def test_repeated_spans(small, odd, length):
+    rows = odd.select("doc_id", "text").collect()
+    want = Counter((r.doc_id, *cut) for r, cut in zip(rows, plain_cut([r.text for r in rows], length)))
+    found = suffix_dedup.repeated_spans(odd, length=length).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == want
     assert all(sum(s.stop - s.start for s in r.spans) == r.n_removed and len(r.spans) == r.n_spans for r in found)
     assert suffix_dedup.repeated_spans(odd.filter("false"), length=length).count() == 0
 
 
-def test_ranks_of_a_key_that_fills_partitions(spark):
+def test_ranks_of_a_key_that_fills_partitions(spark, small):
     own = random.Random(2)
     keys = [own.choice([7] * 6 + [own.randrange(4000)]) for _ in range(9000)]
     rows = spark.createDataFrame([(k, k % 2, i) for i, k in enumerate(keys)], "a long, b long, id long").repartition(6)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
-    try:
-        got = suffix_dedup.ranked(rows, ["a", "b"], ["id"]).collect()
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = suffix_dedup.ranked(rows, ["a", "b"], ["id"]).collect()
     times = Counter(keys)
     assert sorted(r.id for r in got) == [i for i, k in enumerate(keys) if times[k] > 1]
     pairs = {(r.rank, keys[r.id]) for r in got}
