@@ -13,6 +13,7 @@ from tillwise.streaming import (
     session_totals,
     sessionize,
 )
+from tillwise.streaming.ranges import TASK, in_ranges
 
 CLICKS = "user long, ts long, item long, sale long, page string"
 
@@ -52,7 +53,7 @@ def test_sessionize_by_hand(spark, chunk):
         (8, 400, "b0"), (8, 1000, "b0"), (8, 1600, "b0"), (8, 2200, "b0"), (9, 55, "c0"),
     ]
     df = spark.createDataFrame(visits, "user long, ts long, visit string").repartition(3)
-    found = sessionize(df, user="user", ts="ts", timeout=600, chunk_seconds=chunk)
+    found = sessionize(df, user="user", ts="ts", timeout=600)
     number = {"a0": "5_1", "a1": "5_2", "b0": "8_1", "c0": "9_1"}
     assert sorted((r["visit"], r["session_id"]) for r in found.collect()) == sorted(
         (v, number[v]) for _, _, v in visits
@@ -62,7 +63,7 @@ def test_sessionize_by_hand(spark, chunk):
 @pytest.mark.parametrize("chunk", [3, 50, 86400])
 def test_gap_of_exactly_the_timeout_stays(spark, chunk):
     df = spark.createDataFrame([(1, 100), (1, 110), (1, 121), (1, 121), (None, 5)], "user long, ts long")
-    found = sessionize(df, user="user", ts="ts", timeout=10, chunk_seconds=chunk)
+    found = sessionize(df, user="user", ts="ts", timeout=10)
     assert rows(found, "ts", "session_no") == [(100, 1), (110, 1), (121, 2), (121, 2)]
 
 
@@ -78,7 +79,7 @@ def test_sessionize_against_a_loop(spark, chunk):
             before = c[1]
             expected.append((user, c[1], c[2], number))
     df = spark.createDataFrame(clicks, CLICKS)
-    found = sessionize(df, user="user", ts="ts", timeout=20, chunk_seconds=chunk)
+    found = sessionize(df, user="user", ts="ts", timeout=20)
     assert rows(found, "user", "ts", "item", "session_no") == sorted(expected)
 
 
@@ -132,7 +133,7 @@ def test_sales_after_page_against_a_loop(spark, chunk, seconds):
     clicks = random_clicks(3)
     found = sales_after_page(
         spark.createDataFrame(clicks, CLICKS), user="user", ts="ts", sale="sale", page_type="page",
-        wanted="review", within_seconds=seconds, chunk_seconds=chunk,
+        wanted="review", within_seconds=seconds,
     )
     assert sorted(r["sale"] for r in found.collect()) == sales_by_loop(clicks, seconds)
 
@@ -197,9 +198,67 @@ def test_session_totals_shuffle_the_clicks_once(spark):
 def test_seen_in_session_with(spark, seed):
     """As sessions and their items counted apart; the clicks are written in parts once."""
     df = spark.createDataFrame(random_clicks(seed), CLICKS)
-    sessions = sessionize(df.filter("item IS NOT NULL"), user="user", ts="ts", timeout=20, chunk_seconds=50)
+    sessions = sessionize(df.filter("item IS NOT NULL"), user="user", ts="ts", timeout=20)
     expected = seen_with(sessions, basket=["user", "session_no"], item="item", target=2)
     found = seen_in_session_with(
         df, user="user", ts="ts", item="item", target=2, timeout=20, chunk_seconds=50
     )
     assert rows(found, "item", "cnt") == rows(expected, "item", "cnt") != []
+
+
+@pytest.fixture(params=[3, 10_000])
+def batches(spark, request):
+    """Rows that a task sees at once, in partitions that stay apart."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(request.param))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def plain_sessions(clicks, timeout):
+    numbers = []
+    for user, own in by_user(clicks, lambda c: c[1]).items():
+        no, last = 0, None
+        for c in own:
+            no += last is None or c[1] - last > timeout
+            last = c[1]
+            numbers.append((user, c[1], no))
+    return sorted(numbers)
+
+
+@pytest.mark.parametrize("users", [1, 2, 40])
+def test_sessions_cross_partitions(spark, batches, users):
+    """One user with all clicks of one day fills many partitions."""
+    clicks = random_clicks(users, users=users, n=400, span=3000)
+    df = spark.createDataFrame(clicks, CLICKS).repartition(3)
+    for timeout in (0, 5, 30, 5000):
+        found = sessionize(df, user="user", ts="ts", timeout=timeout)
+        assert rows(found, "user", "ts", "session_no") == plain_sessions(clicks, timeout)
+
+
+def test_one_exchange_of_clicks(spark, batches):
+    clicks = spark.createDataFrame(random_clicks(1, users=1, n=5000, span=86400), CLICKS)
+    ordered = in_ranges(clicks, ["user", "ts"])
+    assert ordered.select(TASK).distinct().count() == 4
+    plan = ordered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    result = sessionize(clicks, user="user", ts="ts", timeout=20)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1
+    assert sessionize(clicks.filter("false"), user="user", ts="ts", timeout=20).count() == 0
+
+
+def test_sales_cross_partitions(spark, batches):
+    clicks = random_clicks(8, users=2, n=500, span=4000)
+    want = set()
+    for own in by_user(clicks, lambda c: (c[1], nulls_first(c[3]), (c[4] is not None, c[4] or ""))).values():
+        latest = None
+        for _, ts, _, sale, page in own:
+            if page == "review":
+                latest = ts
+            elif sale is not None and latest is not None and ts - latest <= 40:
+                want.add(sale)
+    df = spark.createDataFrame(clicks, CLICKS).repartition(3)
+    found = sales_after_page(df, user="user", ts="ts", sale="sale", page_type="page", wanted="review", within_seconds=40)
+    assert rows(found, "sale") == sorted((s,) for s in want)

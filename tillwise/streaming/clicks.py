@@ -2,7 +2,8 @@
 
 A pass over one user's clicks in time order is a window over the user. One user,
 a crawler say, may own a third of all clicks, and a plain window would put them
-into one task. So each pass runs over (user, time chunk) instead and then hands a
+into one task. Sessions and sales after a page are passes over range partitions (``ranges``).
+The other passes run over (user, time chunk) instead and then hands a
 small state from chunk to chunk:
 
 1. window over (user, chunk): the state inside the chunk;
@@ -13,12 +14,14 @@ small state from chunk to chunk:
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillwise.functions.expressions import SECONDS_PER_DAY
 from tillwise.session import durable
+from tillwise.streaming.ranges import TASK, brought, in_ranges, pass_over
 
 CHUNK = "_chunk"
 
@@ -43,37 +46,53 @@ def _break_up(clicks: DataFrame, user: str, ts: str, timeout: int, chunk_seconds
     )
 
 
-def sessionize(
-    clicks: DataFrame,
-    *,
-    user: str,
-    ts: str,
-    timeout: int,
-    chunk_seconds: int = SECONDS_PER_DAY,
-) -> DataFrame:
+def sessionize(clicks: DataFrame, *, user: str, ts: str, timeout: int) -> DataFrame:
     """Add ``session_no`` (1, 2, … per user) and ``session_id`` (``user_no``).
 
     A session ends where the gap to the next click is longer than ``timeout``; a gap of
-    exactly ``timeout`` stays inside. Rows without user or time are dropped.
+    exactly ``timeout`` stays inside. Rows without user or time are dropped. The clicks are
+    shuffled once, over ranges of (user, time): one user's clicks, of one day even, may fill
+    many partitions (see ``ranges``). They are written with their numbers.
     """
-    local = _break_up(clicks, user, ts, timeout, chunk_seconds)
-
-    per_user = Window.partitionBy(user).orderBy(CHUNK)
-    before = F.lag("_last").over(per_user)
-    opened = F.when(before.isNull() | (F.col("_first") - before > timeout), 1).otherwise(0)
-    chunks = (
-        local.groupBy(user, CHUNK)
-        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_piece").alias("_inner"))
-        .withColumn("_opened", opened)
-        .withColumn("_total", F.sum(F.col("_opened") + F.col("_inner")).over(
-            per_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .select(user, CHUNK, (F.col("_total") - F.col("_inner")).alias("_base"))
-    )
-    return (
-        local.join(chunks, [user, CHUNK])
-        .withColumn("session_no", F.col("_base") + F.col("_piece"))
-        .withColumn("session_id", F.concat_ws("_", F.col(user), F.col("session_no")))
-        .drop(CHUNK, "_piece", "_base")
+    columns = clicks.columns
+    ordered = in_ranges(clicks.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()), [user, ts])
+
+    def make():
+        left = {"first_ts": None, "first_no": None, "last_ts": None, "last_no": 0}
+
+        def step(batch, starts):
+            at = batch.column(ts).to_numpy(zero_copy_only=False).astype(np.int64)
+            before = np.concatenate(([at[0] if left["last_ts"] is None else left["last_ts"]], at[:-1]))
+            opens = starts | (at - before > timeout)
+            # Sessions since the user's first click here.
+            total = np.cumsum(opens)
+            base = np.maximum.accumulate(np.where(starts, total - 1, 0))
+            number = total - base + np.where(np.maximum.accumulate(starts), 0, left["last_no"])
+            if left["first_ts"] is None:
+                left["first_ts"] = int(at[0])
+            if left["first_no"] is None and left["last_ts"] is not None and starts[0]:
+                left["first_no"] = left["last_no"]
+            elif left["first_no"] is None and starts[1:].any():
+                left["first_no"] = int(number[np.argmax(starts[1:])])
+            left["last_ts"], left["last_no"] = int(at[-1]), int(number[-1])
+            return None, [number.astype(np.int64)]
+
+        def leave():
+            return left | {"first_no": left["last_no"] if left["first_no"] is None else left["first_no"]}
+
+        return step, leave
+
+    rows, states = pass_over(ordered, user, columns, "_no bigint", make, ["first_ts", "first_no", "last_ts", "last_no"])
+    carried, known = [], None
+    for s in states:
+        offset = 0
+        if known is not None and known[0] == s["first"]:
+            offset = known[2] - (0 if s["first_ts"] - known[1] > timeout else 1)
+        carried.append((s[TASK], offset))
+        known = (s["last"], s["last_ts"], s["last_no"] + (offset if s["first"] == s["last"] else 0))
+    numbered = brought(rows, carried, "_offset").withColumn("session_no", F.col("_no") + F.coalesce("_offset", F.lit(0)))
+    return numbered.withColumn("session_id", F.concat_ws("_", F.col(user), F.col("session_no"))).select(
+        *columns, "session_no", "session_id"
     )
 
 
@@ -292,32 +311,50 @@ def sales_after_page(
     page_type: str,
     wanted: str,
     within_seconds: int,
-    chunk_seconds: int = SECONDS_PER_DAY,
 ) -> DataFrame:
     """Distinct sales made at most ``within_seconds`` after the user's latest click
-    on a ``wanted`` page. A click on such a page never counts as a sale itself."""
+    on a ``wanted`` page. A click on such a page never counts as a sale itself. The clicks are
+    shuffled once, over ranges of (user, time), and sales written with that latest click."""
     relevant = clicks.filter(
-        F.col(user).isNotNull() & (_is(page_type, wanted) | F.col(sale).isNotNull())
-    ).select(user, ts, sale, page_type)
-    in_chunk = (
-        Window.partitionBy(user, CHUNK)
-        .orderBy(ts, sale, page_type)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    page_time = F.when(_is(page_type, wanted), F.col(ts))
-    chunked = _with_chunk(relevant, ts, chunk_seconds)
-    local = chunked.withColumn("_here", F.last(page_time, ignorenulls=True).over(in_chunk))
-
-    per_user = Window.partitionBy(user).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        chunked.groupBy(user, CHUNK)
-        .agg(F.max(page_time).alias("_latest"))
-        .select(user, CHUNK, F.max("_latest").over(per_user).alias("_before"))
-    )
+        F.col(user).isNotNull() & F.col(ts).isNotNull() & (_is(page_type, wanted) | F.col(sale).isNotNull())
+    ).select(user, ts, sale, page_type, _is(page_type, wanted).alias("_page"))
+    ordered = in_ranges(relevant, [user, ts, sale, page_type])
+    never = np.iinfo(np.int64).min
+
+    def make():
+        left = {"first_latest": None, "last_latest": never}
+
+        def step(batch, starts):
+            at = batch.column(ts).to_numpy(zero_copy_only=False).astype(np.int64)
+            page = batch.column("_page").to_numpy(zero_copy_only=False)
+            # The latest page so far: times grow within a user, so its row is the latest one.
+            place = np.arange(len(at))
+            here = np.maximum.accumulate(np.where(page, place, -1))
+            start = np.maximum.accumulate(np.where(starts, place, -1))
+            latest = np.where(here >= np.maximum(start, 0), at[np.maximum(here, 0)], never)
+            latest = np.where((here < 0) & (start < 0), left["last_latest"], latest)
+            if left["first_latest"] is None and "seen" in left and starts[0]:
+                left["first_latest"] = left["last_latest"]
+            elif left["first_latest"] is None and starts[1:].any():
+                left["first_latest"] = int(latest[np.argmax(starts[1:])])
+            left["last_latest"], left["seen"] = int(latest[-1]), 1
+            return ~page, [latest]
+
+        def leave():
+            return left | {"first_latest": left["last_latest"] if left["first_latest"] is None else left["first_latest"]}
+
+        return step, leave
+
+    rows, states = pass_over(ordered, user, [ts, sale], "_latest bigint", make, ["first_latest", "last_latest"])
+    carried, known = [], (None, never)
+    for s in states:
+        before = known[1] if known[0] == s["first"] else never
+        carried.append((s[TASK], before))
+        known = (s["last"], max(s["last_latest"], before) if s["first"] == s["last"] else s["last_latest"])
+    latest = F.greatest("_latest", F.coalesce("_before", F.lit(never)))
     return (
-        local.filter(F.col(sale).isNotNull() & ~_is(page_type, wanted))
-        .join(carried, [user, CHUNK])
-        .filter(F.col(ts) - F.coalesce("_here", "_before") <= within_seconds)
+        brought(rows, carried, "_before")
+        .filter((latest > never) & (F.col(ts) - latest <= within_seconds))
         .select(sale)
         .distinct()
     )
