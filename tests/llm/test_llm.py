@@ -686,6 +686,23 @@ def test_pipeline(spark):
     assert {r.doc_id for r in rows} == {i for i, _ in plain} and used <= least + 1
 
 
+def test_no_group_is_lost_where_ids_repeat(spark):
+    import corpus_pipeline
+
+    a, b, c = prose(60, 21), prose(60, 22), prose(200, 23)
+    rows = [(1, a), (1, b), (7, b), (1, edited(c, 150)), (9, c), (9, c), (5, a), (8, None), (8, ""), (None, b)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        kept = corpus_pipeline.one_of_each_group(spark, docs, FOLDER).collect()
+        assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted(
+            [(1, a), (1, b), (1, edited(c, 150)), (8, ""), (0, b)]
+        )
+        found = jaccard_join.jaccard_classes(docs).collect()
+        assert sorted((r.doc_id or 0, r.class_id or 0, r.n_links) for r in found) == sorted(
+            [(1, 1, 1), (5, 1, 1), (1, 1, 1), (7, 1, 1), (1, 1, 2), (9, 1, 2), (9, 1, 2), (8, 8, 1), (8, 8, 1), (0, 0, 0)]
+        )
+
+
 def test_stages_take_odd_rows(spark, odd, none):
     import corpus_pipeline as p
 

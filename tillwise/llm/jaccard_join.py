@@ -226,9 +226,22 @@ def jaccard_classes(
 
     A null text counts as empty. Texts without words link only to equal texts. Rows that repeat
     are linked to each other. A row with a null id is left out of links and classes: its
-    class_id is null, n_links 0. Rows that share an id but not the text are one node of the
-    graph. Other columns are not read.
+    class_id is null, n_links 0. Rows that share an id but not the text are looked at as
+    different documents. Other columns are not read.
     """
+    found = text_classes(docs, doc_id=doc_id, text=text, similarity=similarity, tolerance=tolerance)
+    result = found.select("doc_id", "class_id", "n_links")
+    unnamed = docs.filter(F.col(doc_id).isNull()).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+    )
+    return result.unionByName(unnamed)
+
+
+def text_classes(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = 0.8, tolerance: float = 1e-4
+) -> DataFrame:
+    """``jaccard_classes`` of the rows with an id, with the text's ``digest`` and the number of
+    the class (``class_no``), which tells classes apart where ids repeat."""
     whole = F.coalesce(F.col(text), F.lit(""))
     texts_of = docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.sha2(whole, 256)).alias("digest"), F.lower(whole).alias("text"))
     named = texts_of.filter(F.col("doc_id").isNotNull())
@@ -238,6 +251,9 @@ def jaccard_classes(
             F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"),
             F.first("bands").alias("bands"), F.first("fresh").alias("fresh"),
         )
+        # A text is a node of the graph, by its own number: ids may repeat.
+        .withColumnRenamed("id", "doc")
+        .withColumn("id", F.monotonically_increasing_id())
     )
     banded = texts.select("id", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least <> most")
@@ -246,12 +262,12 @@ def jaccard_classes(
     sizes = candidates.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = candidates.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     members = durable(
-        dealt.join(texts.select("id", "digest", "copies", "fresh"), "id").select(
-            "id", "root", "blocks", "block", "copies", "fresh", F.col("digest").alias("_digest")
+        dealt.join(texts.select("id", "doc", "digest", "copies", "fresh"), "id").select(
+            "id", "doc", "root", "blocks", "block", "copies", "fresh", F.col("digest").alias("_digest")
         )
     )
     held = (
-        named.join(members.hint("shuffle_hash"), (named["doc_id"] == members["id"]) & (named["digest"] == members["_digest"]))
+        named.join(members.hint("shuffle_hash"), (named["doc_id"] == members["doc"]) & (named["digest"] == members["_digest"]))
         .select("id", "root", "blocks", "block", "copies", "fresh", "text")
     )
     kept = "id long, root long, blocks int, block int, copies long, fresh binary"
@@ -272,17 +288,17 @@ def jaccard_classes(
     )
     links = found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("_a")).agg(F.sum("links").alias("_links"))
     classes = components(found.filter(F.col("b").isNotNull()).select("a", "b")).select(F.col("id").alias("_id"), "root")
-    described = (
-        texts.select(F.col("digest").alias("_digest"), "id", "copies")
+    described = durable(
+        texts.select(F.col("digest").alias("_digest"), "id", "doc", "copies")
         .join(classes, F.col("id") == F.col("_id"), "left")
         .join(links, F.col("id") == F.col("_a"), "left")
         .select(
-            "_digest", F.coalesce("root", "id").alias("class_id"),
+            "_digest", "doc", F.coalesce("root", "id").alias("class_no"),
             (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
-    result = rows.select("doc_id", "digest").join(described, F.col("digest") == F.col("_digest")).select("doc_id", "class_id", "n_links")
-    unnamed = docs.filter(F.col(doc_id).isNull()).select(
-        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+    named_classes = described.groupBy("class_no").agg(F.min("doc").alias("class_id"))
+    described = described.drop("doc").join(named_classes, "class_no")
+    return rows.select("doc_id", "digest").join(described, F.col("digest") == F.col("_digest")).select(
+        "doc_id", "class_id", "n_links", "digest", "class_no"
     )
-    return result.unionByName(unnamed)
