@@ -28,12 +28,18 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near-duplicates; of rows that repeat
-    an id, one. Rows with a null id stay."""
+    """The document with the smallest id of each class of near-duplicates; of several texts with
+    that id, the one whose digest comes first; of rows that repeat both, one. Rows with a null
+    id stay."""
     configure_texts(spark)
-    classes = jaccard_join.jaccard_classes(docs.filter(F.col("doc_id").isNotNull()))
-    first = classes.filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    kept = docs.join(first.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    classes = jaccard_join.text_classes(docs.filter(F.col("doc_id").isNotNull()))
+    first = classes.groupBy("class_no").agg(F.min(F.struct("doc_id", "digest")).alias("first")).select("first.*")
+    # A column name that no document has.
+    own = "_digest" + "_" * max(map(len, docs.columns))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    marked = docs.withColumn(own, F.unhex(F.sha2(text, 256)))
+    first = first.withColumnRenamed("digest", own).hint("shuffle_hash")
+    kept = marked.join(first, ["doc_id", own], "left_semi").dropDuplicates(["doc_id", own]).drop(own)
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
