@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise import ParquetTables, plans
 from tillwise.operators.features import return_behaviour, split_by_id
@@ -18,6 +19,7 @@ from tillwise.operators.models import (
     interest_classifier,
     review_classifier,
 )
+from tillwise.operators.periods import quantity_around_price_change
 from tillwise.operators.statistics import correlation, linear_fit, variation
 from tillwise.sources import write_delimited
 from tillwise.sources.schemas import SCHEMAS
@@ -336,3 +338,45 @@ def test_parquet_tables_and_text_output(spark, tmp_path):
     assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["1,1.5,a,b", "1,1.5,a,b", "2,\\N,\\N", "3,20,"]
     write_delimited(rows.filter("id = 2"), out, mode="overwrite", delimiter="|")
     assert [r["value"] for r in spark.read.text(out).collect()] == ["2|\\N|\\N"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_reads_once(spark, tmp_path):
+    spark.range(100).withColumn("body", F.lit("x")).write.parquet(str(tmp_path / "rows"))
+    train, test = split_by_id(spark.read.parquet(str(tmp_path / "rows")), "id")
+    for part in (train, test):
+        assert str(tmp_path / "rows") not in plan_of(part)
+        assert "PartitionFilters: [isnotnull(_part" in plan_of(part)
+        assert part.columns == ["id", "body"]
+    assert (train.count(), test.count()) == (90, 10)
+    assert split_by_id(spark.range(0), "id")[1].count() == 0
+
+
+def test_intervals_by_running_sums(spark):
+    rnd = random.Random(6)
+    sales = [(rnd.randrange(4), rnd.choice([None, *range(60)]), rnd.choice([None, 1, 2, 5])) for _ in range(300)] + [(None, 3, 9)]
+    changes = [
+        (rnd.randrange(6), i, 0.5, rnd.choice([None, *range(70)]), rnd.choice([None, -3, 0, 1, 7, 100])) for i in range(80)
+    ]
+    changes += [changes[0]] * 2 + [(None, 99, 0.5, 3, 3)]
+    want = {}
+    for item, imp, _, start, n in changes:
+        if not any(s[0] == item for s in sales) or item is None:
+            continue
+        now = past = 0
+        if start is not None and n is not None:
+            own = [(d, q or 0) for i, d, q in sales if i == item and d is not None]
+            now = sum(q for d, q in own if start <= d < start + n)
+            past = sum(q for d, q in own if start - n <= d < start)
+        a, b = want.get((item, imp), (0, 0))
+        want[item, imp] = (a + now, b + past)
+    found = quantity_around_price_change(
+        spark.createDataFrame(sales, "item long, day long, quantity int"),
+        spark.createDataFrame(changes, "i_item_sk long, imp_sk long, price_change double, imp_start_date long, no_days long"),
+        item="item", day="day", quantity="quantity",
+    )
+    assert {(r.i_item_sk, r.imp_sk): (r.current, r.previous) for r in found.collect()} == want
+    assert "Join" not in plan_of(found)

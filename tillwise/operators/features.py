@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.session import durable
+
 from tillwise.functions.expressions import count_if, ratio, sum_if
 
 
@@ -97,6 +99,9 @@ def class_counts(rows: DataFrame, *, key: str, class_id: str, classes: range, mi
 
 
 def split_by_id(rows: DataFrame, key: str, *, parts: int = 10, test_part: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by the remainder of an id: the same rows on every run."""
-    part = F.pmod(F.col(key), F.lit(parts))
-    return rows.filter(part != test_part), rows.filter(part == test_part)
+    """(train, test) by the remainder of an id: the same rows on every run. The rows are read
+    once; one job writes both parts, each to a folder of its own, which it is read from."""
+    name = "_part" + "_" * max(map(len, rows.columns))
+    part = F.pmod(F.col(key), F.lit(parts)) == test_part
+    written = durable(rows.withColumn(name, part), by=name)
+    return written.filter(~F.col(name)).drop(name), written.filter(F.col(name)).drop(name)

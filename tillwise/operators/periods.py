@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillwise.functions.expressions import day_offset, ratio, sum_if
 
@@ -57,20 +58,38 @@ def quantity_around_price_change(
     """(imp_sk, price_change, current, previous): quantity sold in the n days from a
     competitor's price change and in the n days before it.
 
-    Sales are summed per item and day first, so an item with very many sales joins
-    as a few days and not as its rows.
+    Sales are summed per item and day first, so an item with very many sales counts as a few
+    days and not as its rows. Days and price changes then meet in one running sum per item,
+    never pair by pair: what is sold in an interval is the running sum at its end less that
+    at its start. Changes of items that were never sold are left out; those without a start or
+    of no days get 0.
     """
-    daily = sales.groupBy(F.col(item).alias("i_item_sk"), F.col(day).alias("_day")).agg(
-        F.sum(quantity).alias("_quantity")
+    daily = (
+        sales.filter(F.col(item).isNotNull())
+        .groupBy(F.col(item).alias("i_item_sk"), F.col(day).cast("long").alias("_day"))
+        .agg(F.coalesce(F.sum(quantity), F.lit(0)).alias("_quantity"))
+        .withColumn("_sale", F.lit(1))
     )
-    start, length = F.col("imp_start_date"), F.col("no_days")
-    now = (F.col("_day") >= start) & (F.col("_day") < start + length)
-    past = (F.col("_day") >= start - length) & (F.col("_day") < start)
+    start = F.col("imp_start_date").cast("long")
+    days = F.greatest(F.coalesce(F.col("no_days"), F.lit(0)), F.lit(0)).cast("long")
+
+    def point(at, current: int, previous: int):
+        return F.struct(at.alias("_day"), F.lit(current).alias("_current"), F.lit(previous).alias("_previous"))
+
+    points = changes.select(
+        "i_item_sk", "imp_sk", "price_change", F.lit(0).alias("_sale"),
+        F.inline(F.array(point(start - days, 0, -1), point(start, -1, 1), point(start + days, 1, 0))),
+    )
+    # A point stands before the sales of its day.
+    so_far = Window.partitionBy("i_item_sk").orderBy("_day", "_sale").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        daily.join(changes, "i_item_sk")
+        points.unionByName(daily, allowMissingColumns=True)
+        .withColumn("_sum", F.coalesce(F.sum("_quantity").over(so_far), F.lit(0)))
+        .withColumn("_sold", F.max("_sale").over(Window.partitionBy("i_item_sk")))
+        .filter("_sale = 0 AND _sold = 1")
         .groupBy("i_item_sk", "imp_sk", "price_change")
         .agg(
-            sum_if(now, F.col("_quantity")).alias("current"),
-            sum_if(past, F.col("_quantity")).alias("previous"),
+            F.sum(F.col("_sum") * F.col("_current")).alias("current"),
+            F.sum(F.col("_sum") * F.col("_previous")).alias("previous"),
         )
     )

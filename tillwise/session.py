@@ -73,16 +73,17 @@ def intermediates() -> Iterator[None]:
             release(table)
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it from there.
 
     Later steps neither recompute it nor lose it with an executor, and Catalyst knows
     its true size, so it broadcasts the table only if it is small. ``intermediates``
-    deletes it; without it the table stays.
+    deletes it; without it the table stays. With ``by`` each value of that column
+    has a folder, and a filter on it reads only that.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.durable_path = path
     if (owned := _OWNED.get()) is not None:
