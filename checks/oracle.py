@@ -458,6 +458,35 @@ def _facts(features: str, key: str) -> str:
   FROM ({features})"""
 
 
+def _clusters(features: str, key: str, columns: list[str], result: str, k: int = 8, steps: int = 20) -> str:
+    """Lloyd's steps one after the other; ``result`` reads put (key, j, far) and c{steps} (j, v)."""
+
+    def put(step: int) -> str:
+        far = " + ".join(f"(p{i} - v[{i}]) * (p{i} - v[{i}])" for i in range(1, len(columns) + 1))
+        return f"""
+  put{step} AS MATERIALIZED (
+    SELECT * FROM (SELECT p.*, j, {far} AS far, row_number() OVER (PARTITION BY {key} ORDER BY {far}, j) AS place
+                   FROM point p, c{step}) WHERE place = 1)"""
+
+    units = ", ".join(f'CAST(round(coalesce("{c}", 0) * 1e7) AS HUGEINT) AS u{i}' for i, c in enumerate(columns, 1))
+    names = [f"u{i}" for i in range(1, len(columns) + 1)]
+    ctes = [f"""
+  unit AS (SELECT {key}, {units} FROM ({features})),
+  point AS MATERIALIZED (SELECT *, {", ".join(f"CAST({u} AS DOUBLE) / 1e7 AS p{u[1:]}" for u in names)} FROM unit),
+  seed AS (SELECT {", ".join(names)}, min(((({key} % 1000003) * 7919 + 104729) % 1000003, {key})) AS turn FROM unit GROUP BY ALL),
+  c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY turn) - 1 AS j, [{", ".join(f"CAST({u} AS DOUBLE) / 1e7" for u in names)}] AS v
+                      FROM seed ORDER BY turn LIMIT {k})"""]
+    for step in range(steps):
+        means = ", ".join(f"CAST(sum({u}) AS DOUBLE) / (count(place) * 1e7)" for u in names)
+        ctes += [put(step), f"""
+  c{step + 1} AS MATERIALIZED (
+    SELECT c.j, CASE WHEN count(place) = 0 THEN any_value(c.v) ELSE [{means}] END AS v
+    FROM c{step} c LEFT JOIN put{step} USING (j) GROUP BY c.j)"""]
+    ctes += [put(steps).replace(f"put{steps} AS", "put AS"), f"""
+  last AS (SELECT * FROM c{steps})"""]
+    return f"WITH {','.join(ctes)} {result}"
+
+
 def _per_class(what: str) -> str:
     return ", ".join(what.format(c=c) for c in ("NEG", "NEUT", "POS"))
 
@@ -490,6 +519,19 @@ SQL |= {
   SELECT count(*) FILTER (WHERE clicks_in_category <= mean) AS negatives,
          count(*) FILTER (WHERE clicks_in_category > mean) AS positives,
          true AS accuracy_agrees, true AS better_than_chance, true AS calibrated FROM f, m""",
+    "q20_return_clusters": _clusters(
+        SQL["q20_return_features"], "user_sk", ["orderRatio", "itemsRatio", "monetaryRatio", "frequency"],
+        "SELECT user_sk, j AS cluster FROM put"),
+    "q20_return_cluster_centers": _clusters(
+        SQL["q20_return_features"], "user_sk", ["orderRatio", "itemsRatio", "monetaryRatio", "frequency"], """,
+  sized AS (SELECT j, count(*) AS n FROM put GROUP BY j),
+  cost AS (SELECT CAST(sum(CAST(round(far * 1e6) AS HUGEINT)) AS DOUBLE) / 1e6 AS cost FROM put)
+  SELECT j AS cluster, coalesce(n, 0) AS size, unnest([0, 1, 2, 3])::BIGINT AS feature, unnest(v) AS center, cost
+  FROM last LEFT JOIN sized USING (j), cost"""),
+    "q25_recency_clusters": _clusters(
+        SQL["q25_recency_features"], "cid", ["recency", "frequency", "totalspend"], "SELECT cid, j AS cluster FROM put"),
+    "q26_class_clusters": _clusters(
+        SQL["q26_class_features"], "cid", [f"id{c}" for c in range(1, 16)], "SELECT cid, j AS cluster FROM put"),
     "q20_cluster_facts": _facts(SQL["q20_return_features"], "user_sk"),
     "q25_cluster_facts": _facts(SQL["q25_recency_features"], "cid"),
     "q26_cluster_facts": _facts(SQL["q26_class_features"], "cid"),

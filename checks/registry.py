@@ -172,8 +172,11 @@ def _sentiment(t, polarity=None) -> DataFrame:
 
 
 def _cluster_centers(t) -> DataFrame:
+    """A row for each number of a center."""
     result = plans.q20(t)
-    return result.centers.withColumn("cost", F.lit(result.cost))
+    return result.centers.withColumn("cost", F.lit(result.cost)).select(
+        "cluster", "size", F.posexplode("center").alias("feature", "center"), "cost"
+    )
 
 
 def _seen_with(t) -> DataFrame:

@@ -6,11 +6,10 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.expressions import count_if, ratio
@@ -28,33 +27,80 @@ class Clusters:
     cost: float
 
 
+#: Features are counted in units of this fraction, so that their sums are exact.
+UNITS = 10_000_000
+
+
 def cluster(
     features: DataFrame, *, key: str, k: int = 8, iterations: int = 20, seed: int = 1
 ) -> Clusters:
-    """k-means from random first centers with a fixed seed. The features are written
-    to the checkpoint folder once, sorted by key, and every pass reads them there."""
+    """k-means by Lloyd's steps from fixed first centers; the same on every run and cluster.
+
+    First centers are k different points, the first in an order of their keys (whole numbers)
+    that ``seed`` changes; fewer different points make fewer clusters. Each step is one
+    aggregate over the features: rows go to the nearest center (of equally near ones the
+    first), and sums of whole units and counts, so many as k and the number of features say,
+    come back. The steps end when no center moves. A center without rows stays. Features are
+    rounded to seven digits behind the point; a missing one counts as 0.
+    """
     columns = [c for c in features.columns if c != key]
-    rows = durable(
-        VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="error")
-        .transform(features.sortWithinPartitions(key))
-        .select(key, "features")
-    )
-    model = KMeans(k=k, maxIter=iterations, seed=seed, initMode="random").fit(rows)
-    assigned = model.transform(rows).select(key, "features", F.col("prediction").alias("cluster"))
-    centers = rows.sparkSession.createDataFrame(
-        [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())],
-        "cluster int, center array<double>",
+    unit = [
+        F.coalesce(F.round(F.col(c).cast("double") * float(UNITS)), F.lit(0.0)).cast("decimal(28,0)").alias(c) for c in columns
+    ]
+    rows = durable(features.select(F.col(key), *unit))
+    first = (
+        rows.groupBy(*columns)
+        .agg(F.min(_turn(F.col(key), seed)).alias("_first"))
+        .orderBy("_first")
+        .limit(k)
+        .collect()
     )
-    sizes = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    centers = [[float(r[c]) / UNITS for c in columns] for r in first]
+
+    def placed() -> DataFrame:
+        """Rows with the distances to all centers and the nearest one. The centers are one array
+        in the plan, so that the code made for it serves all steps."""
+        point = F.array(*[F.col(c).cast("double") / F.lit(float(UNITS)) for c in columns])
+        every = F.array(*[F.array(*map(F.lit, center)) for center in centers]).cast("array<array<double>>")
+
+        def far(center):
+            squares = F.zip_with("_point", center, lambda p, v: (p - v) * (p - v))
+            return F.aggregate(squares, F.lit(0.0), lambda x, y: x + y)
+
+        near = (F.array_position("_far", F.array_min("_far")) - 1).cast("int")
+        return rows.withColumn("_point", point).withColumn("_far", F.transform(every, far)).withColumn("cluster", near)
+
+    for _ in range(iterations if centers else 0):
+        sums = placed().groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in columns])
+        moved = list(centers)
+        for r in sums.collect():
+            moved[r["cluster"]] = [float(r[c]) / (r["_n"] * float(UNITS)) for c in columns]
+        if moved == centers:
+            break
+        centers = moved
+
+    spark = rows.sparkSession
+    table = spark.createDataFrame(list(enumerate(centers)), "cluster int, center array<double>")
+    assigned = durable(placed().select(key, "cluster", F.array_min("_far").alias("_least")))
+    sizes = assigned.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("size"), F.sum(F.round(F.col("_least") * 1e6).cast("decimal(28,0)")).alias("_cost")
+    ).collect()
+    known = spark.createDataFrame([(r["cluster"], r["size"]) for r in sizes if r["cluster"] is not None], "cluster int, size long")
     return Clusters(
         assignments=assigned.select(key, "cluster"),
-        centers=centers.join(sizes, "cluster", "left").select(
+        centers=table.join(F.broadcast(known), "cluster", "left").select(
             "cluster", F.coalesce("size", F.lit(0)).alias("size"), "center"
         ),
-        cost=model.summary.trainingCost,
+        cost=float(sum(r["_cost"] or 0 for r in sizes)) / 1e6,
     )
 
 
+def _turn(key: Column, seed: int) -> Column:
+    """A key's place in an order that ``seed`` changes, then the key."""
+    prime = F.lit(1_000_003)
+    return F.struct(F.pmod(F.pmod(key, prime) * 7919 + seed * 104_729, prime).alias("turn"), key.alias("key"))
+
+
 def cluster_facts(features: DataFrame, found: Clusters, *, key: str) -> DataFrame:
     """One row of what must hold for clusters of ``features``: rows and keys assigned, the
     sum of the sizes, rows nearer to another center, centers that are not the mean of
