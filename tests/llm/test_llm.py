@@ -686,6 +686,56 @@ def test_pipeline(spark):
     assert {r.doc_id for r in rows} == {i for i, _ in plain} and used <= least + 1
 
 
+def test_stages_keep_columns_with_names_of_their_own(spark, odd):
+    clash = "_keep _did _tid _n_dropped _text _h1 _digest".split()
+    docs = odd.select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(clash)])
+    bench = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    plain = docs.select("doc_id", "text")
+    for stage in (
+        lambda d: line_dedup.drop_lines(d, line_dedup.keep_bitmaps(d)),
+        lambda d: decontaminate.drop_contaminated(d, bench),
+    ):
+        kept = stage(docs)
+        assert kept.columns == docs.columns
+        rows = collections.Counter(map(tuple, kept.collect()))
+        assert rows == collections.Counter((*r, *range(len(clash))) for r in stage(plain).collect())
+
+
+def test_ftrl_against_a_plain_loop():
+    own = random.Random(9)
+    texts = [[own.randrange(60) for _ in range(own.randint(0, 12))] for _ in range(300)]
+    labels = [int(3 in t or own.random() < 0.1) for t in texts]
+    how = toxicity.Ftrl(l1=1.5, epochs=2)
+    # Features of a text are different from each other, as the operator makes them.
+    texts = [sorted(set(t)) for t in texts]
+    z, n, bias_z, bias_n = collections.defaultdict(float), collections.defaultdict(float), 0.0, 0.0
+
+    def weight(i):
+        if abs(z[i]) <= how.l1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * how.l1) / ((how.beta + n[i] ** 0.5) / how.alpha + how.l2)
+
+    order = np.random.default_rng(how.seed)
+    for _ in range(how.epochs):
+        for row in order.permutation(len(texts)):
+            w = {i: weight(i) for i in texts[row]}
+            bias = -bias_z / ((how.beta + bias_n**0.5) / how.alpha)
+            g = 1 / (1 + np.exp(-(sum(w.values()) + bias))) - labels[row]
+            for i in w:
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / how.alpha * w[i]
+                n[i] += g * g
+            bias_z += g - ((bias_n + g * g) ** 0.5 - bias_n**0.5) / how.alpha * bias
+            bias_n += g * g
+    got, bias = toxicity.ftrl([np.array(t, np.int64) for t in texts], np.array(labels), 64, how)
+    assert np.allclose(got, [weight(i) for i in range(64)], atol=1e-9)
+    assert np.isclose(bias, -bias_z / ((how.beta + bias_n**0.5) / how.alpha))
+    assert np.argmax(got) == 3
+    # With the usual L1 nearly all weights are 0.
+    sparse, _ = toxicity.ftrl([np.array(t, np.int64) for t in texts], np.array(labels), 64, toxicity.Ftrl(epochs=2))
+    assert (sparse == 0).mean() > 0.8 and sparse[3] > 0
+
+
 def test_no_group_is_lost_where_ids_repeat(spark):
     import corpus_pipeline
 

@@ -12,6 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.shared import plain_names
 from tillwise.llm.words import (
     SHINGLE, Powers, first_marks, map_batches, pieces, plain_word_bytes, ragged, shingles_of, words_of,
 )
@@ -237,8 +238,8 @@ def drop_contaminated(
     similarity: float = 0.8, radius: int = 23, block_bytes: int = 16 << 20,
 ) -> DataFrame:
     """``docs`` without the rows that ``find_benchmark`` would report; columns stay as they are."""
-    names = docs.columns
-    lowered = docs.select(*[F.col(f"`{c}`") for c in names], F.lower(F.col(text)).alias("_text"))
+    plain, names = plain_names(docs, text)
+    lowered = plain.select(*[F.col(f"`{c}`") for c in names], F.lower(F.col(text)).alias("_text"))
     schema = lowered.schema
 
     def rows(batch, found):
@@ -248,4 +249,4 @@ def drop_contaminated(
 
     for sent in _indexes(benchmark, item_id, item_text, radius, similarity, block_bytes):
         lowered = _map(lowered, schema, sent, rows)
-    return lowered.select(*[F.col(f"`{c}`") for c in names])
+    return lowered.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(names, docs.columns)])

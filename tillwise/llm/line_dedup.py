@@ -7,6 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.shared import plain_names
 from tillwise.session import durable
 
 SPACE = " \t\n\x0b\f\r"
@@ -106,8 +107,9 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame, *, doc_id: str = "doc_id", t
     """``docs`` with the lines gone that ``bitmaps`` (of ``keep_bitmaps``) leave out.
     Kept lines are joined by line feeds; a text that loses all of them becomes empty.
     Columns, and texts that lose nothing (null ones too), stay as they are."""
-    both, kept = _joined(docs, bitmaps, doc_id, text)
-    return both.select(*[kept.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    plain, names = plain_names(docs, doc_id, text)
+    both, kept = _joined(plain, bitmaps, doc_id, text)
+    return both.select(*[(kept if n == text else F.col(f"`{n}`")).alias(c) for n, c in zip(names, docs.columns)])
 
 
 def line_report(docs: DataFrame, bitmaps: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

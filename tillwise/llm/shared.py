@@ -36,6 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def plain_names(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` whose columns that begin with an underscore, as those that operators add, have
+    other names, but for the ``needed`` ones; and the names now."""
+    free = "x" * (1 + max(map(len, docs.columns)))
+    names = [f"{free}{i}" if c.startswith("_") and c not in needed else c for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, shards: int) -> DataFrame:
     """At most ``max_rows`` labelled training texts: text, label (0 or 1), shard.
 
