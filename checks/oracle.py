@@ -487,6 +487,41 @@ def _clusters(features: str, key: str, columns: list[str], result: str, k: int =
     return f"WITH {','.join(ctes)} {result}"
 
 
+def _newton(features: str, count: str, columns: list[str], result: str, steps: int = 12) -> str:
+    """Newton's steps for "count above the mean" one after the other; ``result`` reads
+    scored (y, p) and w{steps} (b)."""
+    size = len(columns) + 1
+    x = ["1.0::DOUBLE", *(f'"{c}"::DOUBLE' for c in columns)]
+    ctes = [f"""
+  feature AS MATERIALIZED (SELECT * FROM ({features})),
+  row AS MATERIALIZED (
+    SELECT CAST({count} > (SELECT avg({count}) FROM feature) AS INT)::DOUBLE AS y,
+           {", ".join(f"{c} AS x{i}" for i, c in enumerate(x))} FROM feature),
+  w0 AS MATERIALIZED (SELECT [{", ".join(["0.0::DOUBLE"] * size)}] AS b)"""]
+    margin = " + ".join(f"b[{i + 1}] * x{i}" for i in range(size))
+    for step in range(steps):
+        lines = ", ".join(
+            "[" + ", ".join([*(f"sum(p * (1 - p) * x{i} * x{j})" for j in range(size)), f"sum((y - p) * x{i})"]) + "]"
+            for i in range(size)
+        )
+        ctes.append(f"""
+  p{step} AS (SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM row, w{step}),
+  e{step}_0 AS MATERIALIZED (SELECT m, m AS first FROM (SELECT [{lines}] AS m FROM p{step}))""")
+        for c in range(1, size + 1):
+            ctes.append(f"""
+  e{step}_{c} AS MATERIALIZED (
+    SELECT list_transform(range(1, {size + 1}), lambda i: list_transform(range(1, {size + 2}), lambda j:
+             CASE WHEN m[{c}][{c}] > 1e-10 * first[{c}][{c}]
+                  THEN CASE WHEN i = {c} THEN m[i][j] / m[{c}][{c}] ELSE m[i][j] - m[i][{c}] * m[{c}][j] / m[{c}][{c}] END
+                  WHEN i = {c} THEN 0.0 ELSE m[i][j] END)) AS m, first FROM e{step}_{c - 1})""")
+        ctes.append(f"""
+  w{step + 1} AS MATERIALIZED (
+    SELECT list_transform(range(1, {size + 1}), lambda i: b[i] + m[i][{size + 1}]) AS b FROM w{step}, e{step}_{size})""")
+    ctes.append(f"""
+  scored AS MATERIALIZED (SELECT y, round(1 / (1 + exp(-({margin}))), 10) AS p FROM row, w{steps})""")
+    return f"WITH {','.join(ctes)} {result}"
+
+
 def _per_class(what: str) -> str:
     return ", ".join(what.format(c=c) for c in ("NEG", "NEUT", "POS"))
 
@@ -513,7 +548,20 @@ CLASSED = rf"""
     SELECT *, CASE WHEN s_NEG >= s_NEUT AND s_NEG >= s_POS THEN 'NEG' WHEN s_NEUT >= s_POS THEN 'NEUT' ELSE 'POS' END AS class
     FROM scored)"""
 
+INTERESTS = ["college_education", "male", *(f"clicks_in_{c}" for c in range(1, 8))]
+
 SQL |= {
+    "q05_interest_classifier": _newton(SQL["q05_interest_features"], "clicks_in_category", INTERESTS, """,
+  ranked AS (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0::DOUBLE AS place FROM scored),
+  area AS (SELECT (sum(place) FILTER (WHERE y = 1) - pos * (pos + 1) / 2.0) / (pos * neg) AS auc
+           FROM ranked, (SELECT sum(y) AS pos, sum(1 - y) AS neg FROM scored) GROUP BY pos, neg)
+  SELECT avg(CASE WHEN (p > 0.5) = (y = 1) THEN 1.0::DOUBLE ELSE 0 END) AS accuracy, any_value(auc) AS auc,
+         count(*) FILTER (WHERE y = 0 AND p <= 0.5) AS n_00, count(*) FILTER (WHERE y = 0 AND p > 0.5) AS n_01,
+         count(*) FILTER (WHERE y = 1 AND p <= 0.5) AS n_10, count(*) FILTER (WHERE y = 1 AND p > 0.5) AS n_11,
+         avg(p) AS mean_probability FROM scored, area"""),
+    "q05_classifier_weights": _newton(SQL["q05_interest_features"], "clicks_in_category", INTERESTS, f"""
+  SELECT unnest([NULL, {", ".join(f"'{c}'" for c in INTERESTS)}]) AS feature,
+         unnest(list_transform(b, lambda v: round(v, 8))) AS weight FROM w12"""),
     "q05_classifier_facts": f"""
   WITH f AS ({SQL["q05_interest_features"]}), m AS (SELECT avg(clicks_in_category) AS mean FROM f)
   SELECT count(*) FILTER (WHERE clicks_in_category <= mean) AS negatives,

@@ -247,6 +247,8 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
     "q04_abandoned_carts": lambda t: plans.q04(t, timeout=SESSION_GAP),
     "q05_interest_features": lambda t: plans.q05_features(t, category="PROMO", education=("BUILDING", "MACHINERY")),
     "q05_interest_classifier": lambda t: plans.q05(t, category="PROMO", education=("BUILDING", "MACHINERY")),
+    "q05_classifier_weights": lambda t: plans.q05_weights(
+        t, category="PROMO", education=("BUILDING", "MACHINERY")).withColumn("weight", F.round("weight", 8)),
     "q05_classifier_facts": _classifier_facts,
     "q06_web_growth_by_margin": lambda t: plans.q06(t, year=1996),
     "q07_states_buying_dear_items": lambda t: plans.q07(t, price_ratio=1.03, year=1998, month=7, min_count=3),

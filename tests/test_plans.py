@@ -17,6 +17,8 @@ from tillwise.operators.models import (
     cluster,
     cluster_facts,
     interest_classifier,
+    interest_weights,
+    logistic_weights,
     review_classifier,
 )
 from tillwise.operators.periods import quantity_around_price_change
@@ -295,6 +297,28 @@ def test_word_unseen_in_a_class_rules_it_out(spark):
     assert found == {10: "NEG", 20: "POS", 30: "POS"}
 
 
+def test_logistic_weights_have_no_gradient_left(spark):
+    turn = random.Random(5)
+    rows = [(turn.gauss(0, 1), turn.randrange(4), 7, turn.random()) for _ in range(400)]
+    rows = [(a, b, c, 2 * a - b, int(turn.random() < 1 / (1 + math.exp(-a - 0.5 * b + 1)))) for a, b, c, _ in rows]
+    df = spark.createDataFrame([*rows, (None, 1, 7, 0.0, 1)], "a double, b int, `c.c` int, d double, label int")
+    weights = logistic_weights(df, ["a", "b", "c.c", "d"], "label")
+    assert weights[3] == weights[4] == 0.0  # constant, and determined by a and b
+    gradient = [0.0] * 3
+    for a, b, _, _, label in rows:
+        p = 1 / (1 + math.exp(-(weights[0] + weights[1] * a + weights[2] * b)))
+        for i, v in enumerate((1.0, a, b)):
+            gradient[i] += (label - p) * v
+    assert max(map(abs, gradient)) < 1e-8
+    assert logistic_weights(df.limit(0), ["a"], "label") == [0.0, 0.0]
+
+
+def test_interest_weights_name_their_features(spark):
+    rows = [(i % 10, (i * 7) % 3, (i * i) % 11) for i in range(300)]
+    found = interest_weights(spark.createDataFrame(rows, "clicks long, male long, other long"), count="clicks")
+    assert [r["feature"] for r in found.collect()] == [None, "male", "other"]
+
+
 def test_interest_classifier_counts(spark):
     rows = [(i % 10, i % 2, (i % 10) * 2) for i in range(100)]
     row = interest_classifier(

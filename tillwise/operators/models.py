@@ -5,10 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,32 +128,125 @@ def cluster_facts(features: DataFrame, found: Clusters, *, key: str) -> DataFram
     return spread.withColumn("_one", F.lit(1)).join(middle.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
+def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
+    """x with matrix x = right, by elimination. A column that depends on those before it (its
+    pivot is below 1e-10 of its diagonal) gets 0."""
+    size = len(right)
+    rows = [[*line, value] for line, value in zip(matrix, right)]
+    for c in range(size):
+        pivot = rows[c][c]
+        if not pivot > 1e-10 * matrix[c][c]:
+            rows[c] = [0.0] * (size + 1)
+            continue
+        rows[c] = [v / pivot for v in rows[c]]
+        for i in range(size):
+            if i != c:
+                factor = rows[i][c]
+                rows[i] = [v - factor * u for v, u in zip(rows[i], rows[c])]
+    return [line[-1] for line in rows]
+
+
+def _probability(columns: list[str], weights: list[float]) -> Column:
+    margin = sum((F.col(f"`{c}`") * F.lit(w) for c, w in zip(columns, weights[1:])), F.lit(weights[0]))
+    return 1 / (1 + F.exp(-margin))
+
+
+def logistic_weights(
+    rows: DataFrame, columns: list[str], label: str, *, iterations: int = 20, tolerance: float = 1e-9
+) -> list[float]:
+    """Intercept and weights of the unpenalised logistic regression of ``label`` (0 or 1) on
+    ``columns`` by Newton's steps, each of them one aggregate: the sums of weighted products
+    come to the driver, so many numbers whatever the rows.
+
+    A step that lowers the likelihood is halved. It ends once no weight moves by more than
+    ``tolerance`` of its size (at least of 1), or after ``iterations`` steps. A column that is
+    constant, or that others before it determine, has weight 0. No rows give zeros.
+    """
+    # Other names than any column of the rows, and the intercept as a column of ones.
+    used = rows.select(
+        F.col(f"`{label}`").cast("double").alias("y"), F.lit(1.0).alias("x0"),
+        *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(columns, 1)],
+    ).dropna()
+    names = [f"x{i}" for i in range(len(columns) + 1)]
+    weight = F.col("p") * (1 - F.col("p"))
+    sums = [F.sum((F.col("y") - F.col("p")) * F.col(a)) for a in names]
+    sums += [F.sum(weight * F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]]
+    # log(1 + e^-m) without overflow, m being the margin on the side of the label.
+    side = F.when(F.col("y") > 0, F.col("m")).otherwise(-F.col("m"))
+    sums.append(F.sum(-F.greatest(-side, F.lit(0.0)) - F.log1p(F.exp(-F.abs(side)))))
+
+    def at(weights):
+        margin = sum((F.col(n) * F.lit(w) for n, w in zip(names, weights)), F.lit(0.0))
+        found = used.withColumn("m", margin).withColumn("p", 1 / (1 + F.exp(-F.col("m")))).agg(*sums).first()
+        return [v or 0.0 for v in found]
+
+    size = len(names)
+    weights, state = [0.0] * size, None
+    step = [0.0] * size
+    for _ in range(iterations + 1):
+        found = at(weights)
+        if state is not None and found[-1] < state[-1] - 1e-12 * abs(state[-1]):
+            step = [s / 2 for s in step]
+            weights = [w - s for w, s in zip(weights, step)]
+            continue
+        state, upper = found, iter(found[size:-1])
+        matrix = [[0.0] * size for _ in names]
+        for i in range(size):
+            for j in range(i, size):
+                matrix[i][j] = matrix[j][i] = next(upper)
+        step = _solve(matrix, found[:size])
+        if all(abs(s) <= tolerance * max(1.0, abs(w)) for s, w in zip(step, weights)):
+            return [w + s for w, s in zip(weights, step)]
+        weights = [w + s for w, s in zip(weights, step)]
+    return weights
+
+
+def _labelled(features: DataFrame, count: str, threshold: float | None) -> tuple[DataFrame, list[str]]:
+    """The features as doubles, written once, with the column label; and their names there."""
+    columns = [c for c in features.columns if c != count]
+    names = [f"x{i}" for i in range(len(columns))]
+    rows = durable(
+        features.select(
+            F.col(f"`{count}`").cast("double").alias("count"),
+            *[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(columns, names)],
+        ).dropna()
+    )
+    if threshold is None:
+        threshold = rows.agg(F.avg("count").alias("mean")).first()["mean"]
+    return rows.select(*names, (F.col("count") > threshold).cast("double").alias("label")), names
+
+
+def interest_weights(
+    features: DataFrame, *, count: str, threshold: float | None = None, iterations: int = 20, tolerance: float = 1e-9
+) -> DataFrame:
+    """The weights that ``interest_classifier`` finds: feature (null: the intercept), weight."""
+    rows, names = _labelled(features, count, threshold)
+    weights = logistic_weights(rows, names, "label", iterations=iterations, tolerance=tolerance)
+    columns = [None, *(c for c in features.columns if c != count)]
+    return features.sparkSession.createDataFrame(list(zip(columns, weights)), "feature string, weight double")
+
+
 def interest_classifier(
     features: DataFrame,
     *,
     count: str,
     threshold: float | None = None,
     iterations: int = 20,
-    tolerance: float = 1e-5,
+    tolerance: float = 1e-9,
 ) -> DataFrame:
-    """Logistic regression of "count above threshold" on the other columns, and its
-    quality on the same rows: accuracy, auc, the four cells of the confusion matrix
-    (n_<actual><predicted>) and the mean probability of label 1. The threshold defaults
-    to the mean count."""
-    columns = [c for c in features.columns if c != count]
-    rows = durable(
-        VectorAssembler(inputCols=columns, outputCol="features")
-        .transform(features)
-        .select(F.col(count).cast("double").alias("_count"), "features")
-    )
-    if threshold is None:
-        threshold = rows.agg(F.avg("_count").alias("mean")).first()["mean"]
-    rows = rows.select("features", (F.col("_count") > threshold).cast("double").alias("label"))
-    model = LogisticRegression(
-        maxIter=iterations, regParam=0.0, tol=tolerance, family="binomial"
-    ).fit(rows)
-    scored = model.transform(rows)
-    auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)
+    """Logistic regression of "count above threshold" on the other columns (see
+    ``logistic_weights``), and its quality on the same rows: accuracy, auc, the four cells of
+    the confusion matrix (n_<actual><predicted>) and the mean probability of label 1. The
+    threshold defaults to the mean count. Rows with a null are left out."""
+    rows, names = _labelled(features, count, threshold)
+    weights = logistic_weights(rows, names, "label", iterations=iterations, tolerance=tolerance)
+    # Equal rows must tie, whatever order their terms are added in.
+    scored = rows.select("label", F.round(_probability(names, weights), 10).alias("score"))
+    scored = scored.withColumn("prediction", (F.col("score") > 0.5).cast("double"))
+    # All points of the curve: the default takes a thousand.
+    auc = BinaryClassificationEvaluator(
+        rawPredictionCol="score", metricName="areaUnderROC", numBins=0
+    ).evaluate(scored)
     cells = [
         count_if((F.col("label") == a) & (F.col("prediction") == p)).alias(f"n_{a}{p}")
         for a in (0, 1)
@@ -166,7 +256,7 @@ def interest_classifier(
         F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
         F.lit(auc).alias("auc"),
         *cells,
-        F.avg(vector_to_array("probability")[1]).alias("mean_probability"),
+        F.avg("score").alias("mean_probability"),
     )
 
 

@@ -11,7 +11,7 @@ from tillwise.operators.features import (
     recency_frequency_money,
     return_behaviour,
 )
-from tillwise.operators.models import Clusters, cluster, interest_classifier
+from tillwise.operators.models import Clusters, cluster, interest_classifier, interest_weights
 
 # Education levels that count as college.
 COLLEGE = ("Advanced Degree", "College", "4 yr Degree", "2 yr Degree")
@@ -37,7 +37,7 @@ def q05_features(t, *, category="Movies & TV", education=COLLEGE, gender="M") ->
     )
 
 
-def q05(t, *, threshold: float | None = None, iterations=20, tolerance=1e-5, **features) -> DataFrame:
+def q05(t, *, threshold: float | None = None, iterations=20, tolerance=1e-9, **features) -> DataFrame:
     """Quality of a classifier for interest in a category."""
     return interest_classifier(
         q05_features(t, **features), count="clicks_in_category", threshold=threshold,
@@ -45,6 +45,14 @@ def q05(t, *, threshold: float | None = None, iterations=20, tolerance=1e-5, **f
     )
 
 
+def q05_weights(t, *, threshold: float | None = None, iterations=20, tolerance=1e-9, **features) -> DataFrame:
+    """Weights of the classifier of ``q05``: feature (null: the intercept), weight."""
+    return interest_weights(
+        q05_features(t, **features), count="clicks_in_category", threshold=threshold,
+        iterations=iterations, tolerance=tolerance,
+    )
+
+
 def q20_features(t) -> DataFrame:
     """How each customer returns goods."""
     orders = t["store_sales"].select(
