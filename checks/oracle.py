@@ -551,6 +551,7 @@ CLASSED = rf"""
 INTERESTS = ["college_education", "male", *(f"clicks_in_{c}" for c in range(1, 8))]
 
 SQL |= {
+    "q12_viewed_then_bought_by_day": SQL["q12_viewed_then_bought"],
     "q05_interest_classifier": _newton(SQL["q05_interest_features"], "clicks_in_category", INTERESTS, """,
   ranked AS (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0::DOUBLE AS place FROM scored),
   area AS (SELECT (sum(place) FILTER (WHERE y = 1) - pos * (pos + 1) / 2.0) / (pos * neg) AS auc

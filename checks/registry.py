@@ -16,6 +16,7 @@ from tillwise.operators import baskets, features, models, periods, statistics, t
 from tillwise.plans.channels import BuyerBand, PlaceBand, dear_items, rebought_quantities
 from tillwise.plans.trends import declining_stores
 from tillwise.session import checkpoint_dir, configure
+from tillwise.sources.layout import write_by_day
 from tillwise.sources.sinks import write_delimited
 from tillwise.sources.testbed import TestbedTables
 from tillwise.streaming import clicks
@@ -190,6 +191,11 @@ def _classifier_facts(t) -> DataFrame:
     return models.classifier_facts(quality)
 
 
+def _clicks_by_day(t):
+    """The tables with clicks laid out by day."""
+    return write_by_day(t, f"{checkpoint_dir(t.spark)}/days-{uuid.uuid4().hex}", ("web_clickstreams",))
+
+
 def _delimited(t) -> DataFrame:
     """Lines as the text sink wrote them."""
     path = f"{checkpoint_dir(t.spark)}/lines-{uuid.uuid4().hex}"
@@ -257,6 +263,8 @@ BOUND: dict[str, Callable[[TestbedTables], DataFrame]] = {
     "q10_review_sentiment": lambda t: plans.q10(t, lexicon=_lexicon(t)),
     "q11_reviews_and_ratings": lambda t: plans.q11(t, start="1997-01-01", end="1997-06-30"),
     "q12_viewed_then_bought": lambda t: plans.q12(t, categories=("PROMO", "SMALL"), first_day=9862),
+    "q12_viewed_then_bought_by_day": lambda t: plans.q12(
+        _clicks_by_day(t), categories=("PROMO", "SMALL"), first_day=9862),
     "q13_web_growth_by_payment": lambda t: plans.q13(t, year=1996),
     "q14_morning_to_evening": lambda t: plans.q14(t),
     "q15_falling_categories": lambda t: plans.q15(t, start=ALL_DAYS[0], end=ALL_DAYS[1]),
