@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm.shared import plain_names
@@ -41,8 +41,8 @@ def keep_bitmaps(
     ``min_docs`` documents stays only in the largest id that holds it, in all its lines
     there. Hashes of keys (128 bits), ids and positions are range-partitioned by hash and
     id, so that a key that a third of all documents hold is spread over many tasks; they
-    are sorted by position within. Only one row for a key and task moves on to find the
-    count and the keeper.
+    are sorted by position within, where the first line of each key and document streams out.
+    Only these are counted, one row for a key and task, to find the count and the keeper.
 
     Rows with a null id count as one document, smaller than any other. Rows that repeat an
     id with another text count once for it, but each keeps its own bitmap. Null and empty
@@ -59,22 +59,28 @@ def keep_bitmaps(
             F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2"), "_did", "_tid", "_n", "_pos"
         )
     )
-    ranged = hashed.repartitionByRange("_h1", "_h2", "_did").sortWithinPartitions("_h1", "_h2", "_did", "_pos")
-    held = ranged.groupBy("_h1", "_h2", "_did").agg(
-        F.collect_set(F.struct("_tid", "_n", "_pos")).alias("_at")
+    # The window runs in the order of the range partitions, so it adds no exchange: rows of a
+    # key and document stream past by position, and what repeats the row before goes.
+    ranged = hashed.repartitionByRange("_h1", "_h2", "_did")
+    inside = Window.partitionBy("_h1", "_h2", "_did").orderBy("_pos", "_tid")
+    before = F.lag(F.struct("_pos", "_tid")).over(inside)
+    held = durable(
+        ranged.withColumn("_before", before)
+        .filter(~F.col("_before").eqNullSafe(F.struct("_pos", "_tid")))
+        .withColumn("_first", F.col("_before").isNull())
+        .drop("_before")
     )
-    held = durable(held)
     shared = (
-        held.groupBy("_h1", "_h2")
+        held.filter("_first")
+        .groupBy("_h1", "_h2")
         .agg(F.count(F.lit(1)).alias("_docs"), F.max("_did").alias("_keeper"))
         .filter(F.col("_docs") >= min_docs)
     )
     dropped = (
         held.join(shared, ["_h1", "_h2"])
         .filter(F.col("_did") != F.col("_keeper"))
-        .select("_did", F.explode("_at").alias("_l"))
-        .groupBy("_did", F.col("_l._tid").alias("_tid"), F.col("_l._n").alias("n_lines"))
-        .agg(F.sort_array(F.collect_list("_l._pos")).alias("_gone"))
+        .groupBy("_did", "_tid", F.col("_n").alias("n_lines"))
+        .agg(F.sort_array(F.collect_list("_pos")).alias("_gone"))
     )
     gone = F.size("_gone")
     runs = F.transform(
