@@ -615,6 +615,41 @@ def test_line_dedup(spark, odd, none):
 # 10
 
 
+def test_first_lines_stream_in_range_order(spark):
+    """One exchange by range serves the window; a document with many equal lines has no array of them."""
+    line = "x" * 50
+    rows = [(i, f"{line}\n{line}\nown {i}") for i in range(5)] + [(4, f"{line}\n{line}\nown 4"), (3, line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["_did"], r["n_lines"]): [tuple(k) for k in r["keep"]] for r in line_dedup.keep_bitmaps(docs).collect()}
+    assert found == {(i, 3): [(2, 1)] for i in range(4)} | {(3, 1): []}
+
+
+def test_warc_tells_what_its_header_lines_say(spark, tmp_path):
+    rows = [(1, "u", "same"), (2, "u\u2028WARC-Type: revisit", "same"), (3, "a: b", "other"), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = warc.write_archive(pages, str(tmp_path / "archive"))
+    headers = spark.read.parquet(f"{folder}/headers")
+    assert headers.columns == ["header"]
+    kept = headers.collect()
+
+    def damaged(old, new):
+        path = str(tmp_path / f"damaged-{abs(hash((old, new)))}")
+        for part in ("payloads", "digests"):
+            spark.read.parquet(f"{folder}/{part}").write.parquet(f"{path}/{part}")
+        changed = [(h.header.replace(old, new),) for h in kept]
+        spark.createDataFrame(changed, "header string").write.parquet(f"{path}/headers")
+        return {r.page_id: tuple(r)[1:] for r in warc.read_digests(spark, path).collect()}
+
+    whole = damaged("none at all", "")
+    assert whole[1][2:] == ("revisit", 2) and whole[2][2:] == ("response", None) and whole[None][0] == 0
+    assert damaged("WARC-Type: revisit\r\n", "garbage\r\n")[1][2:] == (None, 2)
+    assert damaged("Payload-Length: 4", "Payload-Length: 5")[1][:2] == (None, None)
+    assert damaged("sha1:", "sha1:A")[3][:2] == (None, None)
+    assert damaged("sha256:", "sha256:x")[3][:2] == (None, None)
+    spark.createDataFrame([("garbage",)], "header string").write.mode("append").parquet(f"{folder}/headers")
+    assert sum(r.record is None for r in warc.read_records(spark, folder).collect()) == 1
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "http://a/\r\nX: y", "<p>é</p>"), (2, None, "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u", None), (4, "u", ""),
             (None, "n", "<p>é</p>"), (None, "n", "alone"), (5, "u", "x" * 100_000)]

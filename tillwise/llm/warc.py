@@ -61,7 +61,8 @@ def write_archive(
     """Write one record per row of ``pages`` and return the archive's folder.
 
     ``payloads`` holds each distinct payload (the html in UTF-8, null as empty) once, under
-    its SHA-256; ``headers`` holds every record's header lines and that digest. Of records
+    its SHA-256; ``headers`` holds every record's header lines, which name that digest, and
+    nothing else. Of records
     with equal payloads of at least ``min_bytes`` bytes, the one with the largest page_id is a
     response and the others revisit it; shorter ones are all responses. Rows that repeat the
     largest page_id are all responses. A null page_id is the smallest; where all of a
@@ -88,7 +89,6 @@ def write_archive(
     ).otherwise("response")
     refers = F.when(kind == "revisit", F.col("_owner"))
     owned.select(
-        "page_id", kind.alias("record_type"), refers.alias("refers_to"), "sha256",
         _header(kind, F.col("page_id"), F.col("url"), F.col("sha1"), F.col("sha256"), F.col("length"), refers, date)
         .alias("header"),
     ).write.parquet(f"{folder}/headers")
@@ -110,13 +110,46 @@ def _table(spark: SparkSession, folder: str, name: str, schema: str) -> DataFram
     return spark.read.schema(schema).parquet(f"{folder}/{name}")
 
 
+def _field(name: str, form: str) -> Column:
+    """The value of the header line ``name``, whole and of the given form, else null. Values hold
+    no line ends, so no value is taken for another line."""
+    line = F.regexp_extract("header", rf"(?:^|\r\n){name}: ({form})(?=\r\n|\z)", 1)
+    return F.when(line != "", line)
+
+
 def read_headers(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(
-        spark, folder, "headers",
-        "page_id long, record_type string, refers_to long, sha256 string, header string",
+    """What the stored header lines say, nothing else being stored of a record: page_id,
+    record_type, refers_to, sha1, sha256, length, content_length, and the lines. A line that is
+    missing or damaged gives null; so does the page_id of a page that had none."""
+    page = r"<urn:page:(?:-?\d{1,19}|none)>"
+
+    def number(value: Column) -> Column:
+        return F.regexp_extract(value, r"-?\d+", 0).try_cast("long")
+
+    return _table(spark, folder, "headers", "header string").select(
+        number(_field("WARC-Record-ID", page)).alias("page_id"),
+        _field("WARC-Type", "response|revisit").alias("record_type"),
+        number(_field("WARC-Refers-To", page)).alias("refers_to"),
+        _field("WARC-Payload-Digest", "sha1:[A-Z2-7]{32}").substr(6, 32).alias("sha1"),
+        _field("WARC-Payload-Digest-Strong", "sha256:[0-9a-f]{64}").substr(8, 64).alias("sha256"),
+        number(_field("WARC-Payload-Length", r"\d{1,18}")).alias("length"),
+        number(_field("Content-Length", r"\d{1,18}")).alias("content_length"),
+        "header",
     )
 
 
+def _body(payload: Column) -> Column:
+    """The block of a record: a revisit's holds no payload."""
+    own = F.when(F.col("record_type") == "response", payload).otherwise(F.lit(b""))
+    return F.concat(F.lit(HTTP_HEAD.encode()), own)
+
+
+def _agrees(length: Column, sha1: Column) -> Column:
+    """Whether the header's lengths and digest are those of the stored payload."""
+    block = F.when(F.col("record_type") == "revisit", 0).otherwise(length) + len(HTTP_HEAD)
+    return (F.col("length") == length) & (F.col("sha1") == sha1) & (F.col("content_length") == block)
+
+
 def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """Payloads whose bytes have the digest they are stored under. Repeated rows of pages
     may have stored a payload twice; see ``read_digests`` and ``read_records``."""
@@ -125,25 +158,34 @@ def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """What the archive says of every record, with length and SHA-1 taken anew from the
-    stored payloads. A record whose payload is missing or damaged has nulls there."""
+    """What the archive's header lines say of every record, held against length and SHA-1
+    taken anew from the stored payloads: page_id, payload_bytes, payload_digest, record_type,
+    refers_to. Bytes and digest are null where the payload is missing or damaged or the header
+    says otherwise; a damaged type or reference is null.
+
+    Payloads are read and digested where they are stored; only their digests are joined."""
     payloads = read_payloads(spark, folder).select(
         F.col("sha256").alias("_sha256"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest"),
+        F.octet_length("payload").cast("long").alias("_bytes"),
+        base32_sha1(F.col("payload")).alias("_sha1"),
     ).dropDuplicates(["_sha256"])
-    headers = read_headers(spark, folder)
-    return headers.join(payloads, F.col("sha256") == F.col("_sha256"), "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    both = read_headers(spark, folder).join(payloads, F.col("sha256") == F.col("_sha256"), "left")
+    agrees = _agrees(F.col("_bytes"), F.col("_sha1"))
+    return both.select(
+        "page_id", F.when(agrees, F.col("_bytes")).alias("payload_bytes"),
+        F.when(agrees, F.col("_sha1")).alias("payload_digest"), "record_type", "refers_to",
     )
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """Whole records: (page_id, record, payload). ``record`` is the record's bytes as they
     would stand in a WARC file; a revisit's record has no payload, but ``payload`` gives
-    that of the response it refers to."""
+    that of the response it refers to. Both are null where the header and the payload do not
+    agree."""
     payloads = read_payloads(spark, folder).withColumnRenamed("sha256", "_sha256").dropDuplicates(["_sha256"])
     both = read_headers(spark, folder).join(payloads, F.col("sha256") == F.col("_sha256"), "left")
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    record = F.concat(F.encode("header", "UTF-8"), F.lit(b"\r\n\r\n" + HTTP_HEAD.encode()), body, F.lit(b"\r\n\r\n"))
-    return both.select("page_id", record.alias("record"), "payload")
+    agrees = _agrees(F.octet_length("payload").cast("long"), base32_sha1(F.col("payload")))
+    record = F.concat(F.encode("header", "UTF-8"), F.lit(b"\r\n\r\n"), _body(F.col("payload")), F.lit(b"\r\n\r\n"))
+    return both.select(
+        "page_id", F.when(agrees, record).alias("record"), F.when(agrees, F.col("payload")).alias("payload")
+    )
