@@ -1,6 +1,7 @@
 """The operators against plain versions, on small tables and on the test data."""
 
 import collections
+import itertools
 import os
 import random
 import re
@@ -375,6 +376,78 @@ def test_local_search_empties_bins():
     assert sorted(i for b in bins for i in b) == list(range(7))
 
 
+
+def helps(lengths, bins, size):
+    """Whether some move, exchange or two-for-one exchange makes a bin fuller that is at least as full."""
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    for k, giver in enumerate(bins):
+        for t, taker in enumerate(bins):
+            if t == k or fill[k] == size or not fill[k] <= fill[t] < size:
+                continue
+            singles = [lengths[i] for i in giver]
+            pairs = [a + b for a, b in itertools.combinations(singles, 2)]
+            for back in (0, *(lengths[j] for j in taker)):
+                if any(0 < x - back <= size - fill[t] for x in singles + (pairs if back else [])):
+                    return True
+    return False
+
+
+def fewest(lengths, size):
+    """Fewest bins by trying every place of every document."""
+    least = len(lengths)
+
+    def place(at, rooms):
+        nonlocal least
+        if len(rooms) >= least:
+            return
+        if at == len(lengths):
+            least = len(rooms)
+            return
+        for r in {r for r in rooms if r >= lengths[at]}:
+            rest = list(rooms)
+            rest.remove(r)
+            place(at + 1, rest + [r - lengths[at]])
+        place(at + 1, rooms + [size - lengths[at]])
+
+    place(0, [])
+    return least
+
+
+def test_local_search_ends_where_nothing_helps():
+    own = random.Random(12)
+    more = 0
+    for case in range(150):
+        lengths = np.array(sorted((own.randint(1, 30) for _ in range(own.randint(1, 9))), reverse=True))
+        start = packing.best_fit(lengths, 40)
+        got = packing.pack(lengths, 40)
+        assert sorted(i for b in got for i in b) == list(range(len(lengths)))
+        assert all(lengths[b].sum() <= 40 for b in got) and not helps(lengths.tolist(), got, 40)
+        least = fewest(lengths.tolist(), 40)
+        assert least <= len(got) <= min(len(start), least + 1)
+        more += len(got) - least
+    assert more <= 3
+    # Many underfull bins at once, and bins of many small documents.
+    for low, high, n in ((300, 1000, 250), (1, 2047, 200), (20, 90, 300)):
+        lengths = np.array([own.randint(low, high) for _ in range(n)])
+        assert not helps(lengths.tolist(), packing.pack(lengths, 2048), 2048)
+
+
+def test_repeated_pieces_spread_over_groups(spark):
+    df = spark.createDataFrame([(None, 1500, 7)] * 600 + [(None, 500, 7)] * 600, "doc_id long, length long, offset int")
+    df = shared.durable(df.withColumn("_group", F.lit(3)).withColumn("_again", F.lit("x")))
+    got = packing.pack_pieces(df, group_rows=100)
+    assert got.columns == ["doc_id", "length", "_group", "_again", "sequence_id", "offset"]
+    rows = got.collect()
+    assert len(rows) == 1200 and {(r._group, r._again) for r in rows} == {(3, "x")}
+    assert len({(r.sequence_id >> 22) & 0xFFFFFFFF for r in rows if r.sequence_id >> 54 == 0}) > 8
+    places = collections.defaultdict(list)
+    for r in rows:
+        places[r.sequence_id].append((r.offset, r.length))
+    assert all(sorted(x) in ([(0, 1500)], [(0, 1500), (1500, 500)], [(0, 500), (500, 1500)]) or {n for _, n in x} == {500}
+               for x in places.values())
+    assert len(places) <= 612  # 600 is least; groups of 100 rows waste up to 2 %
+
+
 # 6
 
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.shared import plain_names
 from tillwise.llm.tokens import Tokenizer
 from tillwise.llm.words import map_batches, pieces
 from tillwise.session import durable
@@ -86,19 +87,24 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
 
 class LocalSearch:
     """Exchanges documents between underfull bins so that the sum of squared fills grows,
-    until a bin is empty or no exchange helps.
+    until no move or exchange helps any bin.
 
-    The emptiest bin gives: a document moves into the bin it fills best, or is exchanged for a
+    Bins give in turn, the emptiest first: a document moves into a bin, or is exchanged for a
     shorter one, or two are exchanged for one that is shorter than both together, always so
-    that the other bin, which is at least as full, becomes fuller.
+    that the other bin, which is at least as full, becomes fuller. A bin that could give
+    nothing is tried again only with bins that changed since.
     """
 
     def __init__(self, lengths: np.ndarray, bins: list[list[int]], size: int):
-        self.lengths, self.bins, self.size = lengths, bins, size
-        self.fill = np.array([int(lengths[b].sum()) for b in bins], np.int64)
+        self.lengths, self.bins, self.size = np.asarray(lengths, np.int64), bins, size
+        self.fill = np.array([int(self.lengths[b].sum()) for b in bins], np.int64)
         self.home = np.empty(len(lengths), np.int64)
         for k, b in enumerate(bins):
             self.home[b] = k
+        # Steps are counted: the last one that changed a bin, and the last one it had tried all others at.
+        self.step = 1
+        self.changed = np.ones(len(bins), np.int64)
+        self.tried = np.zeros(len(bins), np.int64)
 
     def put(self, i: int, k: int) -> None:
         old = int(self.home[i])
@@ -107,48 +113,74 @@ class LocalSearch:
         self.fill[old] -= self.lengths[i]
         self.fill[k] += self.lengths[i]
         self.home[i] = k
+        self.changed[[old, k]] = self.step
+        self.tried[[old, k]] = 0
 
     def run(self) -> list[list[int]]:
-        stuck: set[int] = set()
-        while True:
+        moved = True
+        while moved:
+            moved = False
             under = np.flatnonzero((self.fill > 0) & (self.fill < self.size))
-            giving = [int(k) for k in under[np.argsort(self.fill[under], kind="stable")] if int(k) not in stuck]
-            if len(under) < 2 or not giving:
-                return [b for b in self.bins if b]
-            if self.improve(giving[0], under):
-                stuck.clear() if len(under) <= 64 else None
-            else:
-                stuck.add(giving[0])
-
-    def improve(self, k: int, under: np.ndarray) -> bool:
+            for k in under[np.argsort(self.fill[under], kind="stable")].tolist():
+                while 0 < self.fill[k] < self.size and self.improve(k):
+                    moved = True
+                    self.step += 1
+                self.tried[k] = self.step
+                self.step += 1
+        return [b for b in self.bins if b]
+
+    def improve(self, k: int) -> bool:
         """One move or exchange that takes tokens out of bin k."""
-        others = under[(under != k) & (self.fill[under] >= self.fill[k])]
+        partner = (self.fill < self.size) & (self.fill >= self.fill[k]) & (self.changed > self.tried[k])
+        partner[k] = False
+        others = np.flatnonzero(partner)
         if not len(others):
             return False
-        gap = self.size - self.fill[others]
-        own = sorted(self.bins[k], key=lambda i: -self.lengths[i])
-        for i in own:
-            fits = np.flatnonzero(gap >= self.lengths[i])
-            if len(fits):
-                self.put(i, int(others[fits[np.argmin(gap[fits])]]))
-                return True
-        inside = np.array([j for b in others.tolist() for j in self.bins[b]])
-        spare = self.size - self.fill[self.home[inside]]
-        # Only the shortest and longest few of a bin of many small documents are paired up.
-        few = own[:8] + own[8:][-8:]
-        pairs = [(a, b) for x, a in enumerate(few) for b in few[x + 1 :]]
-        for given in [(i,) for i in own] + pairs:
-            more = sum(int(self.lengths[i]) for i in given) - self.lengths[inside]
-            good = np.flatnonzero((more > 0) & (more <= spare))
-            if len(good):
-                j = int(inside[good[np.argmax(more[good])]])
-                target = int(self.home[j])
-                # The shorter one leaves first, so that no bin holds too much in between.
-                self.put(j, k)
-                for i in given:
-                    self.put(i, target)
-                return True
-        return False
+        by_length: dict[int, list[int]] = {}
+        for i in self.bins[k]:
+            by_length.setdefault(int(self.lengths[i]), []).append(i)
+        own = np.array(sorted(by_length), np.int64)
+        given = self.best(own, np.zeros(len(others), np.int64), self.size - self.fill[others])
+        if given:
+            self.put(by_length[int(own[given[0]])][0], int(others[given[1]]))
+            return True
+        inside = np.flatnonzero(partner[self.home])
+        held, spare = self.lengths[inside], self.size - self.fill[self.home[inside]]
+        given = self.best(own, held, spare)
+        if given:
+            leaving, j = [by_length[int(own[given[0]])][0]], int(inside[given[1]])
+        else:
+            x, y = np.triu_indices(len(own))
+            twice = np.array([len(by_length[int(n)]) > 1 for n in own])
+            x, y = x[(x < y) | twice[x]], y[(x < y) | twice[x]]
+            totals = own[x] + own[y]
+            order = np.argsort(totals, kind="stable")
+            given = self.best(totals[order], held, spare)
+            if not given:
+                return False
+            first, second, j = int(own[x[order[given[0]]]]), int(own[y[order[given[0]]]]), int(inside[given[1]])
+            leaving = [by_length[first][0], by_length[second][-1]]
+        target = int(self.home[j])
+        # The shorter one leaves first, so that no bin holds too much in between.
+        self.put(j, k)
+        for i in leaving:
+            self.put(i, target)
+        return True
+
+    @staticmethod
+    def best(totals: np.ndarray, held: np.ndarray, spare: np.ndarray) -> tuple[int, int] | None:
+        """(of totals, of held) where the total, which is sorted, exceeds what is held by most,
+        and by no more than is to spare there; of equal ones where least is left to spare."""
+        if not len(totals):
+            return None
+        at = np.searchsorted(totals, held + spare, side="right") - 1
+        more = np.where(at >= 0, totals[at] - held, 0)
+        most = int(more.max())
+        if most <= 0:
+            return None
+        ties = np.flatnonzero(more == most)
+        c = int(ties[np.argmin(spare[ties])])
+        return int(at[c]), c
 
 
 def pack(lengths: np.ndarray, size: int) -> list[list[int]]:
@@ -160,14 +192,20 @@ def _pack_group(size: int, step: int):
         lengths = table["length"].to_numpy()
         base = (step << 54) | (key[0].as_py() << 22)
         number, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-        full = np.empty(len(lengths), bool)
-        for k, b in enumerate(pack(lengths, size)):
+        again = np.zeros(len(lengths), bool)
+        bins = pack(lengths, size)
+        for k, b in enumerate(bins):
             number[b] = base + k
             upto = np.cumsum(lengths[b])
             offset[b] = upto - lengths[b]
-            full[b] = upto[-1] == size
+        fills, rows = [int(lengths[b].sum()) for b in bins], 0
+        for k in np.argsort(fills, kind="stable").tolist():
+            rows += len(bins[k])
+            if fills[k] == size or 2 * rows > len(lengths):
+                break
+            again[bins[k]] = True
         out = table.drop(["_group"])
-        for name, values in (("sequence_id", number), ("offset", offset), ("_full", full)):
+        for name, values in (("sequence_id", number), ("offset", offset), ("_again", again)):
             out = out.append_column(name, pa.array(values))
         return out
 
@@ -175,43 +213,43 @@ def _pack_group(size: int, step: int):
 
 
 def pack_pieces(pieces_table: DataFrame, *, size: int = 2048, group_rows: int = 16_384) -> DataFrame:
-    """Adds sequence_id and offset to pieces (a table with a column ``length`` of 1 to
+    """Adds sequence_id and offset to pieces (a stored table with a column ``length`` of 1 to
     ``size``): sequences of at most ``size`` tokens, filled without gaps.
 
     Whole pieces are sequences. The others are dealt at random into groups of about
-    ``group_rows``, each packed by one task. Pieces of sequences that are not full are dealt
-    again into fewer groups, until one group is left or hardly any sequence became full. All columns pass through; rows that repeat are pieces of their own.
+    ``group_rows``, each packed by one task. Each group then gives up its emptiest sequences, as
+    many as hold at most half of its pieces; those pieces are dealt anew, into half as many
+    groups or fewer, until one group is left. Rows that repeat are pieces of their own and spread
+    over the groups. All columns pass through, but for columns named sequence_id or offset, which are replaced.
     """
-    columns = pieces_table.columns
+    pieces_table = pieces_table.drop("sequence_id", "offset")
+    table, columns = plain_names(pieces_table)
     whole = (
-        pieces_table.filter(F.col("length") == size)
+        table.filter(F.col("length") == size)
         .withColumn("sequence_id", F.monotonically_increasing_id().bitwiseOR(F.lit(1 << 62)))
         .withColumn("offset", F.lit(0).cast("long"))
     )
-    left = pieces_table.filter(F.col("length") < size)
-    schema = left.schema.add("sequence_id", "long").add("offset", "long").add("_full", "boolean")
+    left = table.filter(F.col("length") < size)
+    schema = left.schema.add("sequence_id", "long").add("offset", "long").add("_again", "boolean")
     done, step = [whole], 0
     rows = left.count()
+    groups = -(-rows // group_rows)
     while rows:
-        groups = -(-rows // group_rows)
-
-        # The round takes part in the hash: a round deals the rows in another way.
-        dealt = left.withColumn("_group", F.pmod(F.xxhash64(F.lit(step), *columns), F.lit(groups)).cast("long"))
+        # The number of a row in the stored table tells rows apart that repeat; the round deals rows in another way.
+        salt = F.xxhash64(F.lit(step), F.monotonically_increasing_id(), "length")
+        dealt = left.withColumn("_group", F.pmod(salt, F.lit(groups)).cast("long"))
         packed = durable(dealt.groupBy("_group").applyInArrow(_pack_group(size, step), schema))
         if groups == 1:
-            done.append(packed.drop("_full"))
-            break
-        done.append(packed.filter("_full").drop("_full"))
-        left = packed.filter(~F.col("_full")).select(*columns)
-        fewer = left.count()
-        if fewer > 0.9 * rows:  # dealing them anew would not help
-            done.append(packed.filter(~F.col("_full")).drop("_full"))
+            done.append(packed.drop("_again"))
             break
-        rows, step = fewer, step + 1
+        done.append(packed.filter(~F.col("_again")).drop("_again"))
+        left = packed.filter("_again").select(*[F.col(f"`{c}`") for c in columns])
+        rows, step = left.count(), step + 1
+        groups = min(-(-rows // group_rows), groups - 1)
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)
-    return result
+    return result.toDF(*pieces_table.columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, size: int = 2048, end_id: int = 0,
