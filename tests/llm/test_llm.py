@@ -196,6 +196,43 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.find_benchmark(odd, bench.filter("false")).count() == 0
 
 
+
+def test_windows_against_plain_counts(monkeypatch):
+    """Fingerprints and similarities of windows by running sums, over several slices."""
+    monkeypatch.setattr(decontaminate, "SLICE", 64)
+    own = np.random.default_rng(3)
+    few = own.integers(0, 1 << 63, 12, np.uint64) * np.uint64(2) + np.uint64(1)
+    shingled = np.where(own.random(600) < 0.7, few[own.integers(0, 12, 600)], own.integers(0, 1 << 63, 600, np.uint64))
+    for width, length in ((1, 1), (7, 7), (30, 30), (30, 45), (100, 100)):
+        item = few[own.integers(0, 12, length)]
+        for starts in (np.arange(601 - width), np.sort(own.choice(601 - width, 40, False)), np.array([5]), np.array([], np.int64)):
+            got = decontaminate.fingerprints(shingled, starts, width)
+            bits = [np.unpackbits(shingled[s : s + width].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0) for s in starts]
+            assert got.tolist() == [np.packbits(2 * b.astype(int) > width).tolist() for b in bits]
+            if len(starts):
+                want, have = [], collections.Counter(item.tolist())
+                for s in starts:
+                    win = collections.Counter(shingled[s : s + width].tolist())
+                    want.append(sum((win & have).values()) / sum((win | have).values()))
+                assert np.allclose(decontaminate.weighted_jaccard(shingled, starts, width, item), want)
+
+
+def test_long_items_need_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    item = prose(10_000, 31)
+    text = " ".join([prose(20_000, 32), edited(item, 2500), prose(20_000, 33)])
+    index = decontaminate.index_items(pa.table({"item_id": [1], "text": [item]}), 23, 0.8)
+    tracemalloc.start()
+    row, found, score, start, length = decontaminate.best_matches(pa.array([text]), index, words.Powers())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (row.tolist(), found.tolist(), start.tolist(), length.tolist()) == ([0], [1], [20_000], [10_000])
+    assert 0.9 < score[0] < 1 and peak < 200 << 20
+
+
 def test_multi_index_finds_all_within_radius():
     own = np.random.default_rng(1)
     group = decontaminate.SameLength.of(np.arange(50), own.integers(0, 1 << 63, (50, 30), np.uint64), 23)

@@ -19,18 +19,39 @@ from tillwise.llm.words import (
 
 BLOCKS = 8  # of 8 bits each
 FILTER_BITS = 20
+SLICE = 1 << 16  # places whose bits are held at once
 ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
-def fingerprints(windows: np.ndarray) -> np.ndarray:
-    """SimHash of each row of shingle hashes, as 8 bytes. A shingle weighs as often as it
-    occurs; a bit is set where more than half of the weight sets it."""
-    out = np.empty((len(windows), BLOCKS), np.uint8)
-    step = max(1, (1 << 20) // max(1, windows.shape[1]))
-    for at in range(0, len(windows), step):
-        part = np.ascontiguousarray(windows[at : at + step])
-        bits = np.unpackbits(part.view(np.uint8).reshape(len(part), -1, BLOCKS), axis=2)
-        out[at : at + step] = np.packbits(2 * bits.sum(axis=1, dtype=np.int32) > part.shape[1], axis=1)
+def covered(starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of places that windows of ``width`` cover, as begin and length, and each window's run."""
+    new = np.diff(starts, prepend=starts[:1] - width - 1) > width
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(starts)) - 1
+    return starts[begin], starts[last] + width - starts[begin], np.cumsum(new) - 1
+
+
+def fingerprints(shingles: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """SimHash of the windows of ``width`` shingle hashes at each of the starts, which are sorted,
+    as 8 bytes. A shingle weighs as often as it occurs; a bit is set where more than half of
+    the weight sets it.
+
+    Bits are counted by running sums, eight at a time, over slices of the places that windows cover.
+    """
+    out = np.empty((len(starts), BLOCKS), np.uint8)
+    new = np.minimum(np.diff(starts, prepend=starts[:1] - width), width)  # places that no window before has
+    slices = np.cumsum(new) // max(width, SLICE)
+    edges = np.append(np.flatnonzero(first_marks(slices)), len(starts))
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        own = starts[low:high]
+        begin, many, run = covered(own, width)
+        places = shingles[ragged(begin, many)].view(np.uint8).reshape(-1, BLOCKS)
+        at = (np.cumsum(many) - many - begin)[run] + own
+        for b in range(BLOCKS):
+            bits = np.unpackbits(places[:, b : b + 1], axis=1)
+            sums = np.zeros((len(bits) + 1, 8), np.int32)
+            np.cumsum(bits, axis=0, dtype=np.int32, out=sums[1:])
+            out[low:high, b] = np.packbits(2 * (sums[at + width] - sums[at]) > width, axis=1)[:, 0]
     return out
 
 
@@ -46,7 +67,8 @@ class SameLength:
 
     @staticmethod
     def of(items: np.ndarray, shingles: np.ndarray, radius: int) -> SameLength:
-        prints = fingerprints(shingles)
+        items_at = np.arange(len(shingles), dtype=np.int64) * shingles.shape[1]
+        prints = fingerprints(np.ascontiguousarray(shingles).reshape(-1), items_at, shingles.shape[1])
         values = np.arange(256, dtype=np.uint8)
         near = np.stack([ONES[values[:, None] ^ prints[None, :, b]] <= radius // BLOCKS for b in range(BLOCKS)])
         return SameLength(items, shingles, prints, near)
@@ -68,15 +90,28 @@ class SameLength:
         return np.concatenate(rows), np.concatenate(columns)
 
 
-def weighted_jaccard(windows: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """Exact weighted Jaccard similarity of each window to the item: the sum of the smaller
-    shingle counts over the sum of the larger ones."""
+def weighted_jaccard(shingles: np.ndarray, starts: np.ndarray, width: int, item: np.ndarray) -> np.ndarray:
+    """Exact weighted Jaccard similarity of the window of ``width`` shingles at each of the
+    starts, which are sorted, to the item: the sum of the smaller shingle counts over the sum
+    of the larger ones.
+
+    A shingle that the item has c times counts in a window as long as at most c - 1 of the same
+    stand before it there, so each place counts for one range of starts, and the ranges are
+    counted by their ends. Time and memory go with the places, not with places times width.
+    """
     own, counts = np.unique(item, return_counts=True)
-    at = np.minimum(np.searchsorted(own, windows), len(own) - 1)
-    row, column = np.nonzero(own[at] == windows)
-    held = np.bincount(row * len(own) + at[row, column], minlength=len(windows) * len(own))
-    shared = np.minimum(held.reshape(len(windows), len(own)), counts).sum(axis=1)
-    return shared / (windows.shape[1] + len(item) - shared)
+    places = ragged(*covered(starts, width)[:2])
+    at = np.searchsorted(own, shingles[places])
+    at[at == len(own)] = 0
+    known = own[at] == shingles[places]
+    places, at = places[known], at[known]
+    order = np.argsort(at, kind="stable")
+    place, code = places[order], at[order]
+    back = np.arange(len(order)) - counts[code]
+    earlier = np.where(back >= np.searchsorted(code, code), place[back], -1)
+    low = np.sort(np.maximum(place - width, earlier) + 1)
+    shared = np.searchsorted(low, starts, side="right") - np.searchsorted(places, starts)
+    return shared / (width + len(item) - shared)
 
 
 class Benchmark:
@@ -123,17 +158,18 @@ class Benchmark:
             text = np.searchsorted(first, where, side="right") - 1
             low, high = first[text], np.maximum(first[text + 1] - m, first[text])
             begin, end = np.maximum(where - m + 1, low), np.minimum(where, high)
-            starts = np.unique(ragged(begin, np.maximum(end - begin + 1, 0)))
+            # Both rise from hit to hit; each hit adds the starts that none before it has.
+            begin[1:] = np.maximum(begin[1:], end[:-1] + 1)
+            starts = ragged(begin, np.maximum(end - begin + 1, 0))
             text = np.searchsorted(first, starts, side="right") - 1
             width = np.minimum(m, first[text + 1] - starts)
             for w in np.unique(width):
                 own = starts[width == w]
-                windows = shingles[own[:, None] + np.arange(w)]
                 group = self.groups[int(m)]
-                rows, columns = group.within(fingerprints(windows), self.radius)
+                rows, columns = group.within(fingerprints(shingles, own, int(w)), self.radius)
                 for c in np.unique(columns):
                     r = rows[columns == c]
-                    score = weighted_jaccard(windows[r], group.shingles[c])
+                    score = weighted_jaccard(shingles, own[r], int(w), group.shingles[c])
                     good = score >= self.similarity
                     r, score = r[good], score[good]
                     if len(r):
