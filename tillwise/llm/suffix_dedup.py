@@ -11,8 +11,10 @@ with their distances spells out all bytes between.
 2. Round t ranks 2^(t+1) grams from each anchor on, as the pair of the ranks of 2^t grams there
    and 2^t anchors later. What is unique drops out; what is long enough to hold all windows
    that start between two anchors is past the threshold: if it occurs again, they all do.
-3. Windows that neither decides, at the ends of what repeats, are ranked by themselves, with one
-   stretch of each rank that shares a gram with them.
+3. Windows that neither decides, at the ends of what repeats, are compared with those that have the
+   same smallest gram, also in one stretch of each rank that shares it. Runs of such windows
+   move as bytes, grouped by gram; where one gram has very many runs, their windows are ranked
+   over range partitions instead.
 
 Texts are known by their SHA-256 and copies of one text are looked at once where text is needed.
 A null text is an empty one; texts shorter than LENGTH keep all; repeated rows are copies, so they
@@ -31,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm.words import Powers, list_array, map_batches, mix, pieces, ragged, span_hashes
-from tillwise.session import drop_shuffles, durable
+from tillwise.session import drop_shuffles, durable, release
 
 LENGTH = 200
 HEAD, TAIL = np.uint64(0x6A09E667F3BCC909), np.uint64(0xBB67AE8584CAA73B)
 PLACE = np.uint64((1 << 40) - 1)
 SPOT_BITS = 41
+#: Runs of windows that one task compares for a gram; those of more frequent grams are ranked.
+GROUP_ROWS = 1000
 
 
 def smallest_grams(data: np.ndarray, offsets: np.ndarray, length: int, powers: Powers):
@@ -91,7 +95,7 @@ def _parsed(docs: DataFrame, length: int) -> DataFrame:
                     [
                         batch.column(0).slice(texts.first, len(texts)),
                         pa.array(np.diff(texts.offsets)),
-                        list_array(pa.array(at, pa.int64()), first),
+                        list_array(pa.array(at, pa.int32()), first),
                         list_array(pa.array(name.view(np.int64)), first),
                     ],
                     names=["digest", "n_bytes", "at", "name"],
@@ -100,7 +104,7 @@ def _parsed(docs: DataFrame, length: int) -> DataFrame:
         return each
 
     texts = docs.select("digest", "text")
-    return map_batches(texts, "digest string, n_bytes bigint, at array<bigint>, name array<bigint>", make)
+    return map_batches(texts, "digest string, n_bytes bigint, at array<int>, name array<bigint>", make)
 
 
 def ranked(rows: DataFrame, keys: list[str], order: list[str], high_bits: int = 0) -> DataFrame:
@@ -178,7 +182,7 @@ def ranked(rows: DataFrame, keys: list[str], order: list[str], high_bits: int =
         seen.setdefault(tuple(row[2:]), []).append((row.rank, row.size))
     shared = [(r, min(x)[0], sum(n for _, n in x)) for x in seen.values() for r, _ in x]
     shared = spark.createDataFrame(shared, "rank bigint, _own bigint, _total bigint")
-    return (
+    repeated = (
         found.filter("size IS NULL")
         .join(F.broadcast(shared), "rank", "left")
         .filter("_total IS NULL OR _total > 1")
@@ -188,6 +192,8 @@ def ranked(rows: DataFrame, keys: list[str], order: list[str], high_bits: int =
             (F.col("opens") & (F.col("_own").isNull() | (F.col("_own") == F.col("rank")))).alias("opens"),
         )
     )
+    repeated.durable_path = found.durable_path
+    return repeated
 
 
 def _by_place(rows: DataFrame, text: str, schema: str, make) -> DataFrame:
@@ -350,66 +356,233 @@ def _text_of(packed, opener) -> np.ndarray:
     return np.frombuffer(opener.decompress(packed.as_py()), np.uint8)
 
 
-def _windows(texts: DataFrame, length: int) -> DataFrame:
-    """(name, id, spot): windows whose smallest gram is repeated, outside of the stretches known to
-    occur again (spot even) and in those they are held against (spot odd). A window goes by
-    its hash and, above SPOT_BITS of spot, by some bits of another one; spot // 2 is its place."""
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column, and where each list starts among them."""
+    offsets = column.offsets.to_numpy()
+    return column.values.to_numpy()[offsets[0] : offsets[-1]].astype(np.int64), (offsets - offsets[0]).astype(np.int64)
+
+
+def _runs(rows: DataFrame, length: int) -> DataFrame:
+    """Of each text, by the places where windows start: low..high of the stretches known to occur
+    again, as few as possible, and start, count and gram of the other windows whose smallest
+    gram is repeated (held false) and of those they are held against (held true)."""
+    width = length - length // 2
+    schema = "digest string, id bigint, low array<int>, high array<int>, start array<int>, count array<int>, held array<boolean>, gram array<bigint>"
+
+    def make():
+        def each(batch: pa.RecordBatch):
+            at, first = _lists(batch.column("at"))
+            name, _ = _lists(batch.column("name"))
+            size = batch.column("n_bytes").to_numpy()
+            base = np.cumsum(size + 1) - size - 1
+            doc = np.repeat(np.arange(len(size)), np.diff(first))
+            at += base[doc]
+            upto = base + size - length + 1  # behind the last window
+
+            def marked(column):
+                p, of = _lists(batch.column(column))
+                marks = np.zeros(len(at), bool)
+                marks[p + np.repeat(first[:-1], np.diff(of))] = True
+                return marks
+
+            known, whole, lead = marked("known"), marked("whole"), marked("lead")
+
+            def listed(where, values, kind):
+                return list_array(pa.array(values, kind), np.searchsorted(where, np.arange(len(size) + 1)))
+
+            # The last gram is no anchor; some stretches hold no window.
+            own = np.flatnonzero(whole)
+            low, high = at[own], np.minimum(at[own + 1], upto[doc[own]])
+            low, high = low[high > low], high[high > low]
+            opens = np.append(True, low[1:] != high[:-1])[: len(low)]
+            low, high = low[opens], high[np.append(opens[1:], True)[: len(high)]]
+            of = np.searchsorted(base, low, side="right") - 1
+
+            # Of neighbouring anchors the smaller one has all windows that hold both.
+            anchor = np.ones(len(at), bool)
+            anchor[first[:-1]] = anchor[first[1:] - 1] = False
+            anchor = np.flatnonzero(anchor)
+            order = name[anchor].view(np.uint64) & ~PLACE
+            begin = np.empty(len(anchor), np.int64)
+            begin[1:] = np.where(order[:-1] <= order[1:], at[anchor[:-1]] + 1, at[anchor[1:]] - width + 1)
+            begin[np.searchsorted(doc[anchor], np.arange(len(size)))] = base
+            # Between two places where a window's smallest gram or its stretch changes.
+            start = np.unique(np.concatenate((begin, at)))
+            smallest = anchor[np.searchsorted(begin, start, side="right") - 1]
+            stretch = np.searchsorted(at, start, side="right") - 1
+            stop = np.minimum(np.append(start[1:], upto[-1]), upto[doc[smallest]])
+            open_ = (stop > start) & known[smallest] & (~whole | lead)[stretch]
+            start, stop, smallest, held = start[open_], stop[open_], smallest[open_], lead[stretch[open_]]
+            opens = np.ones(len(start), bool)
+            opens[1:] = (start[1:] != stop[:-1]) | (smallest[1:] != smallest[:-1]) | (held[1:] != held[:-1])
+            stop, start, smallest, held = stop[np.append(opens[1:], True)[: len(stop)]], start[opens], smallest[opens], held[opens]
+            by = doc[smallest]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("digest"), batch.column("id"),
+                 listed(of, low - base[of], pa.int32()), listed(of, high - 1 - base[of], pa.int32()),
+                 listed(by, start - base[by], pa.int32()), listed(by, stop - start, pa.int32()),
+                 listed(by, held, pa.bool_()), listed(by, name[smallest], pa.int64())],
+                names=[c.split()[0] for c in schema.split(", ")],
+            )
+
+        return each
+
+    return map_batches(rows.select("digest", "id", "n_bytes", "at", "name", "known", "whole", "lead"), schema, make)
+
+
+def _contexts(texts: DataFrame, length: int) -> DataFrame:
+    """(gram, id, start, held, bytes): the bytes that each run of windows spans."""
 
     def make():
-        powers, opener = Powers(), zstandard.ZstdDecompressor()
+        opener = zstandard.ZstdDecompressor()
 
         def each(batch: pa.RecordBatch):
-            for row in range(batch.num_rows):
-                data = _text_of(batch.column("packed")[row], opener)
-                known, whole, lead = (batch.column(c)[row].values.to_numpy() for c in ("known", "whole", "lead"))
-                at, _, _, least = anchors(data, np.array([0, len(data)]), length, powers)
-                repeated, done, leads = (np.zeros(len(at), bool) for _ in range(3))
-                repeated[known], done[whole], leads[lead] = True, True, True
-                i = np.arange(len(least))
-                stretch = np.searchsorted(at, i, side="right") - 1
-                smallest = np.searchsorted(at[1:-1], least) + 1
-                i = i[repeated[smallest] & (~done | leads)[stretch]]
-                kind = leads[stretch[i]].astype(np.int64)
-                name = span_hashes(data, i, i + length, powers)
-                middle = span_hashes(data, i + 1, i + length - 1, powers)
-                high = (middle >> np.uint64(SPOT_BITS + 1)).astype(np.int64) << SPOT_BITS
-                yield _emit(
-                    name=name.view(np.int64), id=np.full(len(i), batch.column("id")[row].as_py()), spot=high | (2 * i + kind)
+            data = [_text_of(packed, opener) for packed in batch.column("packed")]
+            base = np.cumsum([0] + [len(x) for x in data])
+            data = np.concatenate(data)
+            (start, first), (count, _), (gram, _) = (_lists(batch.column(c)) for c in ("start", "count", "gram"))
+            held = batch.column("held").flatten()
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(first))
+            ids = batch.column("id").to_numpy()
+            # Some MB at a time.
+            ends = np.cumsum(count + length - 1)
+            low = 0
+            while low < len(start):
+                high = max(low + 1, int(np.searchsorted(ends, ends[low] + (1 << 21))))
+                sizes = count[low:high] + length - 1
+                taken = data[ragged(base[doc[low:high]] + start[low:high], sizes)]
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                bytes_ = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(offsets), pa.py_buffer(taken)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram[low:high]), pa.array(ids[doc[low:high]]), pa.array(start[low:high]), held.slice(low, high - low), bytes_],
+                    names=["gram", "id", "start", "held", "bytes"],
                 )
+                low = high
+
+        return each
+
+    return map_batches(texts, "gram bigint, id bigint, start bigint, held boolean, bytes binary", make)
+
+
+def _windows_of(batch: pa.RecordBatch, length: int, powers: Powers):
+    """Of each window in some runs: its run, its place, and two hashes."""
+    column = batch.column("bytes")
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    counts = np.diff(offsets) - length + 1
+    i = ragged(offsets[:-1] - offsets[0], counts)
+    run = np.repeat(np.arange(len(counts)), counts)
+    place = ragged(batch.column("start").to_numpy(), counts)
+    return run, place, span_hashes(data, i, i + length, powers), span_hashes(data, i + 1, i + length - 1, powers)
+
+
+def _windows(contexts: DataFrame, length: int) -> DataFrame:
+    """(name, id, spot): the windows of each run, to be ranked: spot is even, or odd for those that
+    others are held against. A window goes by its hash and, above SPOT_BITS of spot, by some
+    bits of another one; spot // 2 is its place."""
+
+    def make():
+        powers = Powers()
+
+        def each(batch: pa.RecordBatch):
+            held, ids = batch.column("held").to_numpy(zero_copy_only=False), batch.column("id").to_numpy()
+            for low in range(0, batch.num_rows, GROUP_ROWS):
+                run, place, name, middle = _windows_of(batch.slice(low, GROUP_ROWS), length, powers)
+                high = (middle >> np.uint64(SPOT_BITS + 1)).astype(np.int64) << SPOT_BITS
+                yield _emit(name=name.view(np.int64), id=ids[low + run], spot=high | (2 * place + held[low + run]))
 
         return each
 
-    return map_batches(texts, "name bigint, id bigint, spot bigint", make)
+    return map_batches(contexts, "name bigint, id bigint, spot bigint", make)
+
+
+def _equal_windows(contexts: DataFrame, length: int) -> DataFrame:
+    """(id, low, high): runs of windows that are not held and equal others with their gram. The
+    runs of a gram meet in one task."""
+
+    def run(batches):
+        powers = Powers()
+
+        def compared(table: pa.Table):
+            batch = table.combine_chunks().to_batches()[0]
+            held, ids = batch.column("held").to_numpy(zero_copy_only=False), batch.column("id").to_numpy()
+            gram = batch.column("gram").to_numpy()
+            run, place, name, middle = _windows_of(batch, length, powers)
+            order = np.argsort(name)
+            ordered = name[order]
+            equal = ordered[1:] == ordered[:-1]
+            own = order[np.append(equal, False) | np.append(False, equal)]
+            keys = name[own], middle[own], gram[run[own]]
+            by = np.lexsort(keys)
+            own, keys = own[by], [k[by] for k in keys]
+            equal = np.all([k[1:] == k[:-1] for k in keys], axis=0)
+            own = np.sort(own[(np.append(equal, False) | np.append(False, equal))[: len(own)]])
+            own = own[~held[run[own]]]
+            opens = np.ones(len(own), bool)
+            opens[1:] = (own[1:] != own[:-1] + 1) | (run[own[1:]] != run[own[:-1]])
+            yield _emit(id=ids[run[own[opens]]], low=place[own[opens]], high=place[own[np.append(opens[1:], True)[: len(own)]]])
+
+        waiting, rows = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            waiting, rows = [*waiting, batch], rows + batch.num_rows
+            if rows < GROUP_ROWS:
+                continue
+            table = pa.Table.from_batches(waiting)
+            grams = table.column("gram").to_numpy()
+            # Whole grams, some thousand runs at a time; those of the last one wait.
+            ends = np.append(np.flatnonzero(grams[1:] != grams[:-1]) + 1, 0)[:-1]
+            low = 0
+            while len(ends) and low < ends[-1]:
+                high = int(ends[max(np.searchsorted(ends, low + 4 * GROUP_ROWS, side="right") - 1, np.searchsorted(ends, low, side="right"))])
+                yield from compared(table.slice(low, high - low))
+                low = high
+            waiting, rows = table.slice(low).to_batches(), table.num_rows - low
+        if rows:
+            yield from compared(pa.Table.from_batches(waiting))
+
+    return contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "id bigint, low bigint, high bigint")
+
+
+def _repeated_windows(contexts: DataFrame, length: int) -> DataFrame:
+    """(id, low, high): windows that are not held and occur more than once."""
+    frequent = durable(contexts.groupBy("gram").count().filter(F.col("count") > GROUP_ROWS).select("gram"))
+    if frequent.isEmpty():
+        return _equal_windows(contexts, length)
+    found = _equal_windows(contexts.join(frequent, "gram", "left_anti"), length)
+    windows = _windows(contexts.join(frequent, "gram", "left_semi"), length)
+    place = F.shiftright(F.col("spot").bitwiseAND((1 << SPOT_BITS) - 1), 1)
+    many = ranked(windows, ["name", "spot"], ["id"], high_bits=SPOT_BITS).filter("spot % 2 = 0")
+    return found.unionByName(many.select("id", place.alias("low"), place.alias("high")))
 
 
 def _removed(texts: DataFrame, length: int) -> DataFrame:
-    """What is left of each text: (digest, n_removed, n_spans, spans, kept_sha256)."""
+    """What is left of each text without its windows that start at low..high: (digest,
+    n_removed, n_spans, spans, kept_sha256)."""
 
     def make():
-        powers, opener = Powers(), zstandard.ZstdDecompressor()
+        opener = zstandard.ZstdDecompressor()
 
         def each(batch: pa.RecordBatch):
             removed, counts, shas, starts, ends = [], [], [], [], []
-            for row in range(batch.num_rows):
-                data = _text_of(batch.column("packed")[row], opener)
-                at, _, _, _ = anchors(data, np.array([0, len(data)]), length, powers)
-                cover = np.zeros(len(data) + 1, np.int64)
-                whole = batch.column("whole")[row].values.to_numpy()
-                # The last gram is no anchor; some stretches hold no window.
-                last = np.minimum(at[whole + 1] - 1, len(data) - length)
-                filled = last >= at[whole]
-                np.add.at(cover, at[whole[filled]], 1)
-                np.add.at(cover, last[filled] + length, -1)
-                single = batch.column("single")[row].values.to_numpy()
-                np.add.at(cover, single, 1)
-                np.add.at(cover, single + length, -1)
-                gone = np.cumsum(cover) > 0
-                edges = np.flatnonzero(np.diff(np.concatenate(([False], gone[:-1], [False])).astype(np.int8)))
-                starts.append(edges[::2])
-                ends.append(edges[1::2])
-                removed.append(int(gone.sum()))
-                counts.append(len(edges) // 2)
-                shas.append(hashlib.sha256(data[~gone[:-1]].tobytes()).hexdigest())
+            (lows, first), (highs, _) = _lists(batch.column("low")), _lists(batch.column("high"))
+            for row, packed in enumerate(batch.column("packed")):
+                data = _text_of(packed, opener)
+                own = slice(first[row], first[row + 1])
+                by = np.argsort(lows[own], kind="stable")
+                low, reach = lows[own][by], np.maximum.accumulate(highs[own][by] + length)
+                opens = np.append(True, low[1:] > reach[:-1])
+                starts.append(low[opens])
+                ends.append(reach[np.append(opens[1:], True)])
+                removed.append(int((ends[-1] - starts[-1]).sum()))
+                counts.append(len(starts[-1]))
+                kept, at = hashlib.sha256(), 0
+                for start, stop in zip(starts[-1].tolist(), ends[-1].tolist()):
+                    kept.update(data[at:start])
+                    at = stop
+                kept.update(data[at:])
+                shas.append(kept.hexdigest())
             offsets = np.concatenate(([0], np.cumsum(counts)))
             spans = pa.StructArray.from_arrays(
                 [pa.array(np.concatenate(x), pa.int64()) for x in (starts, ends)], names=["start", "stop"]
@@ -436,19 +609,22 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # Round after round twice as many grams.
     place = parsed.select("id", F.size("at").alias("_n"), "at", F.posexplode("name").alias("_p", "name")).select(
-        "name", "id", F.col("_p").cast("long").alias("p"), F.get("at", F.col("_p")).alias("at"),
+        "name", "id", F.col("_p").cast("long").alias("p"), F.get("at", F.col("_p")).cast("long").alias("at"),
         (F.col("_p") == F.col("_n") - 1).alias("tail"),
     )
     grams = ranked(place, ["name"], ["id", "p"])
-    rows, rounds, t = durable(_wanted(grams, length)), [], 0
+    wanted = durable(_wanted(grams, length))
+    rows, rounds, t = wanted, [], 0
     while not rows.isEmpty():
         rounds.append(ranked(_pairs(rows, t), ["a", "gap", "b"], ["id", "p"]))
         rows, t = rounds[-1].filter("m >= 0"), t + 1
+    release(wanted)
     whole = reduce(DataFrame.unionByName, [r.filter("m < 0").select("id", "p", "opens") for r in rounds],
                    grams.select("id", "p", "opens").filter("false"))
 
     # Windows at the ends of what repeats, and one stretch of each rank to hold them against.
     opened = durable(_open(grams, whole, length))
+    drop_shuffles(spark)
     ranks_open = opened.filter("kind = 0").select("rank").distinct()
     leads = opened.filter("kind = 1").join(ranks_open, "rank", "left_semi").select("id", "p").distinct()
     marks = (
@@ -461,22 +637,29 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return F.collect_list(F.when(F.col("what") == what, F.col("p"))).alias(name)
 
     state = marks.groupBy("id").agg(listed(0, "known"), listed(1, "whole"), listed(2, "lead"))
-    named = parsed.select("id", "digest")
     # Copies of a text have the same grams; a stretch may stand first in any of them.
-    state = durable(
-        state.join(named, "id")
+    text_of = F.struct("id", "n_bytes", "at", "name", "known", "whole")
+    state = (
+        state.join(parsed, "id")
         .groupBy("digest")
-        .agg(F.min("id").alias("id"), F.min_by("known", "id").alias("known"), F.min_by("whole", "id").alias("whole"),
-             F.flatten(F.collect_list("lead")).alias("lead"))
+        .agg(F.min_by(text_of, "id").alias("_text"), F.flatten(F.collect_list("lead")).alias("lead"))
+        .select("digest", "_text.*", "lead")
     )
+    runs = durable(_runs(state, length))
+    drop_shuffles(spark)
+    for read in (parsed, grams, opened, *rounds):
+        release(read)
     texts = _packed(docs)
-    open_texts = texts.join(state.filter("size(known) > size(whole) OR size(lead) > 0"), "digest")
-    repeated = ranked(_windows(open_texts, length), ["name", "spot"], ["id"], high_bits=SPOT_BITS)
-    place = F.shiftright(F.col("spot").bitwiseAND((1 << SPOT_BITS) - 1), 1)
-    singles = repeated.filter("spot % 2 = 0").groupBy("id").agg(F.collect_list(place).alias("single"))
-    none = F.array().cast("array<bigint>")
-    found = state.select("digest", "id", "whole").join(singles, "id", "left").filter("size(whole) > 0 OR single IS NOT NULL")
-    found = found.select("digest", "whole", F.coalesce("single", none).alias("single"))
+    contexts = durable(_contexts(texts.join(runs.drop("low", "high").filter("size(start) > 0"), "digest"), length))
+    drop_shuffles(spark)
+    singles = _repeated_windows(contexts, length).groupBy("id").agg(
+        F.collect_list(F.col("low").cast("int")).alias("_low"), F.collect_list(F.col("high").cast("int")).alias("_high")
+    )
+    none = F.array().cast("array<int>")
+    found = runs.select("digest", "id", "low", "high").join(singles, "id", "left").filter("size(low) > 0 OR _low IS NOT NULL")
+    found = durable(found.select("digest", *[F.concat(c, F.coalesce(f"_{c}", none)).alias(c) for c in ("low", "high")]))
+    release(contexts)
+    drop_shuffles(spark)
     cut = _removed(texts.join(found, "digest"), length)
     return docs.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")).join(cut, "digest", "left").select(
         "doc_id",
