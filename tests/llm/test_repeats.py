@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwise.llm import periodic_runs, registry, spelling, suffix_dedup
+from tillwise.session import checkpoint_dir
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -224,6 +225,29 @@ def test_repeated_spans(small, odd, length):
     assert suffix_dedup.repeated_spans(odd.filter("false"), length=length).count() == 0
 
 
+@pytest.mark.parametrize("length", [200, 7])
+def test_repeated_spans_of_frequent_grams(spark, small, monkeypatch, length):
+    monkeypatch.setattr(suffix_dedup, "GROUP_ROWS", 3)
+    own = random.Random(5)
+    line = prose(own, 40)[:230]
+    texts = [prose(own, own.randint(0, 20)) + line + prose(own, own.randint(0, 40)) for _ in range(30)]
+    texts += [t[:300] + "z" + t[301:] for t in texts[:8]] + texts[3:5] + [line, line[:200], line[:199], "ab" * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = Counter((i, *cut) for i, cut in enumerate(plain_cut(texts, length)))
+    found = suffix_dedup.repeated_spans(docs, length=length).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == want
+
+
+def test_repeated_spans_leave_no_tables_of_grams(spark, odd):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    suffix_dedup.repeated_spans(odd)
+    left = set(os.listdir(folder)) - before
+    files = [os.path.join(folder, d, f) for d in left for f in os.listdir(os.path.join(folder, d)) if f.endswith(".parquet")]
+    columns = {c for f in files for c in spark.read.parquet(f).columns}
+    assert "low" in columns and not columns & {"name", "rank", "p", "bytes", "packed"}
+
+
 def test_ranks_of_a_key_that_fills_partitions(spark, small):
     own = random.Random(2)
     keys = [own.choice([7] * 6 + [own.randrange(4000)]) for _ in range(9000)]

@@ -13,8 +13,9 @@ with their distances spells out all bytes between.
    that start between two anchors is past the threshold: if it occurs again, they all do.
 3. Windows that neither decides, at the ends of what repeats, are compared with those that have the
    same smallest gram, also in one stretch of each rank that shares it. Runs of such windows
-   move as bytes, grouped by gram; where one gram has very many runs, their windows are ranked
-   over range partitions instead.
+   move as bytes, grouped by gram; where one gram has very many runs, they are cut in two at the
+   same distances from it, and each half goes by all bytes that its windows share, until groups
+   are small or a half is one window.
 
 Texts are known by their SHA-256 and copies of one text are looked at once where text is needed.
 A null text is an empty one; texts shorter than LENGTH keep all; repeated rows are copies, so they
@@ -38,8 +39,7 @@ from tillwise.session import drop_shuffles, durable, release
 LENGTH = 200
 HEAD, TAIL = np.uint64(0x6A09E667F3BCC909), np.uint64(0xBB67AE8584CAA73B)
 PLACE = np.uint64((1 << 40) - 1)
-SPOT_BITS = 41
-#: Runs of windows that one task compares for a gram; those of more frequent grams are ranked.
+#: Runs of windows that one task compares for a gram; those of more frequent grams are cut.
 GROUP_ROWS = 1000
 
 
@@ -107,10 +107,9 @@ def _parsed(docs: DataFrame, length: int) -> DataFrame:
     return map_batches(texts, "digest string, n_bytes bigint, at array<int>, name array<bigint>", make)
 
 
-def ranked(rows: DataFrame, keys: list[str], order: list[str], high_bits: int = 0) -> DataFrame:
+def ranked(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The rows whose ``keys`` (numbers) occur more than once, without them, with ``rank``, the same
-    number for equal keys, and ``opens``, true for one row of each rank. With ``high_bits``,
-    the last key is what its column holds above so many bits, and that column stays.
+    number for equal keys, and ``opens``, true for one row of each rank.
 
     Rows are sorted by keys and ``order`` over range partitions, so that one key may fill
     many of them. A task numbers the rows of its partition, and says of the first and the last
@@ -118,7 +117,7 @@ def ranked(rows: DataFrame, keys: list[str], order: list[str], high_bits: int =
     together on the driver; they tell what number a key has that several partitions share.
     """
     spark = rows.sparkSession
-    kept = [c for c in rows.columns if c not in keys or (high_bits and c == keys[-1])]
+    kept = [c for c in rows.columns if c not in keys]
     schema = ", ".join(
         [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in kept]
         + ["rank bigint", "opens boolean", "size bigint"] + [f"key{i} bigint" for i in range(len(keys))]
@@ -150,7 +149,6 @@ def ranked(rows: DataFrame, keys: list[str], order: list[str], high_bits: int =
             if not batch.num_rows:
                 continue
             values = [batch.column(k).to_numpy() for k in keys]
-            values[-1] = values[-1] >> high_bits
             opens = np.ones(batch.num_rows, bool)
             opens[1:] = np.any([v[1:] != v[:-1] for v in values], axis=0)
             if before is not None:
@@ -364,10 +362,11 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _runs(rows: DataFrame, length: int) -> DataFrame:
     """Of each text, by the places where windows start: low..high of the stretches known to occur
-    again, as few as possible, and start, count and gram of the other windows whose smallest
-    gram is repeated (held false) and of those they are held against (held true)."""
+    again, as few as possible, and start, count and gram (its name, and at its place) of the other
+    windows whose smallest gram is repeated (held false) and of those they are held against
+    (held true)."""
     width = length - length // 2
-    schema = "digest string, id bigint, low array<int>, high array<int>, start array<int>, count array<int>, held array<boolean>, gram array<bigint>"
+    schema = "digest string, id bigint, low array<int>, high array<int>, start array<int>, count array<int>, held array<boolean>, gram array<bigint>, gram_at array<int>"
 
     def make():
         def each(batch: pa.RecordBatch):
@@ -421,7 +420,7 @@ def _runs(rows: DataFrame, length: int) -> DataFrame:
                 [batch.column("digest"), batch.column("id"),
                  listed(of, low - base[of], pa.int32()), listed(of, high - 1 - base[of], pa.int32()),
                  listed(by, start - base[by], pa.int32()), listed(by, stop - start, pa.int32()),
-                 listed(by, held, pa.bool_()), listed(by, name[smallest], pa.int64())],
+                 listed(by, held, pa.bool_()), listed(by, name[smallest], pa.int64()), listed(by, at[smallest] - base[by], pa.int32())],
                 names=[c.split()[0] for c in schema.split(", ")],
             )
 
@@ -430,8 +429,18 @@ def _runs(rows: DataFrame, length: int) -> DataFrame:
     return map_batches(rows.select("digest", "id", "n_bytes", "at", "name", "known", "whole", "lead"), schema, make)
 
 
+CONTEXT = "gram bigint, check bigint, id bigint, start bigint, gram_at bigint, held boolean, bytes binary"
+CONTEXT_COLUMNS = [c.split()[0] for c in CONTEXT.split(", ")]
+
+
+def _taken(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes of some spans."""
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data[ragged(starts, sizes)])])
+
+
 def _contexts(texts: DataFrame, length: int) -> DataFrame:
-    """(gram, id, start, held, bytes): the bytes that each run of windows spans."""
+    """(gram, check, id, start, gram_at, held, bytes): the bytes that each run of windows spans."""
 
     def make():
         opener = zstandard.ZstdDecompressor()
@@ -440,60 +449,68 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
             data = [_text_of(packed, opener) for packed in batch.column("packed")]
             base = np.cumsum([0] + [len(x) for x in data])
             data = np.concatenate(data)
-            (start, first), (count, _), (gram, _) = (_lists(batch.column(c)) for c in ("start", "count", "gram"))
+            (start, first), (count, _), (gram, _), (gram_at, _) = (_lists(batch.column(c)) for c in ("start", "count", "gram", "gram_at"))
             held = batch.column("held").flatten()
             doc = np.repeat(np.arange(batch.num_rows), np.diff(first))
             ids = batch.column("id").to_numpy()
+            sizes = count + length - 1
             # Some MB at a time.
-            ends = np.cumsum(count + length - 1)
+            ends = np.cumsum(sizes)
             low = 0
             while low < len(start):
                 high = max(low + 1, int(np.searchsorted(ends, ends[low] + (1 << 21))))
-                sizes = count[low:high] + length - 1
-                taken = data[ragged(base[doc[low:high]] + start[low:high], sizes)]
-                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                bytes_ = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(offsets), pa.py_buffer(taken)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram[low:high]), pa.array(ids[doc[low:high]]), pa.array(start[low:high]), held.slice(low, high - low), bytes_],
-                    names=["gram", "id", "start", "held", "bytes"],
-                )
+                own = slice(low, high)
+                columns = [pa.array(x) for x in (gram[own], np.zeros(high - low, np.int64), ids[doc[own]], start[own], gram_at[own])]
+                columns += [held.slice(low, high - low), _taken(data, base[doc[own]] + start[own], sizes[own])]
+                yield pa.RecordBatch.from_arrays(columns, names=CONTEXT_COLUMNS)
                 low = high
 
         return each
 
-    return map_batches(texts, "gram bigint, id bigint, start bigint, held boolean, bytes binary", make)
+    return map_batches(texts, CONTEXT, make)
 
 
-def _windows_of(batch: pa.RecordBatch, length: int, powers: Powers):
-    """Of each window in some runs: its run, its place, and two hashes."""
+def _bytes_of(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of some runs of windows, where each run starts there, and how many windows it has."""
     column = batch.column("bytes")
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    counts = np.diff(offsets) - length + 1
-    i = ragged(offsets[:-1] - offsets[0], counts)
-    run = np.repeat(np.arange(len(counts)), counts)
-    place = ragged(batch.column("start").to_numpy(), counts)
-    return run, place, span_hashes(data, i, i + length, powers), span_hashes(data, i + 1, i + length - 1, powers)
+    return data, offsets[:-1] - offsets[0], np.diff(offsets) - length + 1
 
 
-def _windows(contexts: DataFrame, length: int) -> DataFrame:
-    """(name, id, spot): the windows of each run, to be ranked: spot is even, or odd for those that
-    others are held against. A window goes by its hash and, above SPOT_BITS of spot, by some
-    bits of another one; spot // 2 is its place."""
+def _halves(contexts: DataFrame, length: int, cell: int) -> DataFrame:
+    """The runs cut where a window's distance from its gram is a multiple of ``cell``: gram and check
+    are two hashes of all bytes that windows of such a part share, and of where it is."""
 
     def make():
         powers = Powers()
 
         def each(batch: pa.RecordBatch):
-            held, ids = batch.column("held").to_numpy(zero_copy_only=False), batch.column("id").to_numpy()
+            data, base, count = _bytes_of(batch, length)
+            before = batch.column("gram_at").to_numpy() - batch.column("start").to_numpy()
+            # A window starts 0 to length // 2 bytes before its gram.
+            least, most = (before - count + 1) // cell, before // cell
+            run = np.repeat(np.arange(len(count)), most - least + 1)
+            part = ragged(least, most - least + 1)
+            start = np.maximum(before[run] - part * cell - cell + 1, 0)
+            stop = np.minimum(before[run] - part * cell, count[run] - 1)
+            shared = base[run] + before[run] - part * cell
+            # A part at an end of the run may lack windows, but all of it hold these bytes.
+            names = span_hashes(data, shared, shared - cell + 1 + length, powers)
+            other = span_hashes(data, shared + 1, shared - cell + length, powers)
+            own = [batch.column(c).to_numpy()[run] for c in ("gram", "id", "start", "gram_at")]
+            place = mix((part + cell * length).astype(np.uint64) ^ own[0].view(np.uint64))
+            columns = [pa.array(x) for x in (mix(names ^ place).view(np.int64), mix(other ^ place).view(np.int64), own[1], own[2] + start, own[3])]
+            columns += [batch.column("held").take(pa.array(run)), _taken(data, base[run] + start, stop - start + length)]
+            yield pa.RecordBatch.from_arrays(columns, names=CONTEXT_COLUMNS)
+
+        def some(batch: pa.RecordBatch):
             for low in range(0, batch.num_rows, GROUP_ROWS):
-                run, place, name, middle = _windows_of(batch.slice(low, GROUP_ROWS), length, powers)
-                high = (middle >> np.uint64(SPOT_BITS + 1)).astype(np.int64) << SPOT_BITS
-                yield _emit(name=name.view(np.int64), id=ids[low + run], spot=high | (2 * place + held[low + run]))
+                yield from each(batch.slice(low, GROUP_ROWS))
 
-        return each
+        return some
 
-    return map_batches(contexts, "name bigint, id bigint, spot bigint", make)
+    return map_batches(contexts, CONTEXT, make)
 
 
 def _equal_windows(contexts: DataFrame, length: int) -> DataFrame:
@@ -507,12 +524,16 @@ def _equal_windows(contexts: DataFrame, length: int) -> DataFrame:
             batch = table.combine_chunks().to_batches()[0]
             held, ids = batch.column("held").to_numpy(zero_copy_only=False), batch.column("id").to_numpy()
             gram = batch.column("gram").to_numpy()
-            run, place, name, middle = _windows_of(batch, length, powers)
+            data, base, counts = _bytes_of(batch, length)
+            i = ragged(base, counts)
+            run = np.repeat(np.arange(len(counts)), counts)
+            place = ragged(batch.column("start").to_numpy(), counts)
+            name = span_hashes(data, i, i + length, powers)
             order = np.argsort(name)
             ordered = name[order]
             equal = ordered[1:] == ordered[:-1]
             own = order[np.append(equal, False) | np.append(False, equal)]
-            keys = name[own], middle[own], gram[run[own]]
+            keys = name[own], span_hashes(data, i[own] + 1, i[own] + length - 1, powers), gram[run[own]]
             by = np.lexsort(keys)
             own, keys = own[by], [k[by] for k in keys]
             equal = np.all([k[1:] == k[:-1] for k in keys], axis=0)
@@ -532,7 +553,7 @@ def _equal_windows(contexts: DataFrame, length: int) -> DataFrame:
             table = pa.Table.from_batches(waiting)
             grams = table.column("gram").to_numpy()
             # Whole grams, some thousand runs at a time; those of the last one wait.
-            ends = np.append(np.flatnonzero(grams[1:] != grams[:-1]) + 1, 0)[:-1]
+            ends = np.flatnonzero(grams[1:] != grams[:-1]) + 1
             low = 0
             while len(ends) and low < ends[-1]:
                 high = int(ends[max(np.searchsorted(ends, low + 4 * GROUP_ROWS, side="right") - 1, np.searchsorted(ends, low, side="right"))])
@@ -546,15 +567,21 @@ def _equal_windows(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _repeated_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """(id, low, high): windows that are not held and occur more than once."""
-    frequent = durable(contexts.groupBy("gram").count().filter(F.col("count") > GROUP_ROWS).select("gram"))
-    if frequent.isEmpty():
-        return _equal_windows(contexts, length)
-    found = _equal_windows(contexts.join(frequent, "gram", "left_anti"), length)
-    windows = _windows(contexts.join(frequent, "gram", "left_semi"), length)
-    place = F.shiftright(F.col("spot").bitwiseAND((1 << SPOT_BITS) - 1), 1)
-    many = ranked(windows, ["name", "spot"], ["id"], high_bits=SPOT_BITS).filter("spot % 2 = 0")
-    return found.unionByName(many.select("id", place.alias("low"), place.alias("high")))
+    """(id, low, high): runs of windows that are not held and occur more than once."""
+    found, cell = [], 1 << (length // 2).bit_length()
+    while True:
+        sizes = contexts.groupBy("gram", "check").agg(F.count(F.lit(1)).alias("n"))
+        frequent = durable(sizes.filter(F.col("n") > GROUP_ROWS).select("gram", "check"))
+        if frequent.isEmpty():
+            return reduce(DataFrame.unionByName, found, _equal_windows(contexts, length))
+        found.append(_equal_windows(contexts.join(frequent, ["gram", "check"], "left_anti"), length))
+        contexts = contexts.join(frequent, ["gram", "check"], "left_semi")
+        if cell == 1:
+            # What is left are single windows, each with many equal ones.
+            place = F.col("start").alias("low"), F.col("start").alias("high")
+            return reduce(DataFrame.unionByName, found, contexts.filter("NOT held").select("id", *place))
+        cell //= 2
+        contexts = durable(_halves(contexts, length, cell))
 
 
 def _removed(texts: DataFrame, length: int) -> DataFrame:
