@@ -15,7 +15,7 @@ with their distances spells out all bytes between.
    same smallest gram, also in one stretch of each rank that shares it. Runs of such windows
    move as bytes, grouped by gram; where one gram has very many runs, they are cut in two at the
    same distances from it, and each half goes by all bytes that its windows share, until groups
-   are small or a half is one window.
+   are small or a half is one window. Of halves that are the same bytes one goes on.
 
 Texts are known by their SHA-256 and copies of one text are looked at once where text is needed.
 A null text is an empty one; texts shorter than LENGTH keep all; repeated rows are copies, so they
@@ -569,6 +569,7 @@ def _equal_windows(contexts: DataFrame, length: int) -> DataFrame:
 def _repeated_windows(contexts: DataFrame, length: int) -> DataFrame:
     """(id, low, high): runs of windows that are not held and occur more than once."""
     found, cell = [], 1 << (length // 2).bit_length()
+    ends = "id", F.col("start").alias("low"), (F.col("start") + F.length("bytes") - length).alias("high")
     while True:
         sizes = contexts.groupBy("gram", "check").agg(F.count(F.lit(1)).alias("n"))
         frequent = durable(sizes.filter(F.col("n") > GROUP_ROWS).select("gram", "check"))
@@ -578,10 +579,22 @@ def _repeated_windows(contexts: DataFrame, length: int) -> DataFrame:
         contexts = contexts.join(frequent, ["gram", "check"], "left_semi")
         if cell == 1:
             # What is left are single windows, each with many equal ones.
-            place = F.col("start").alias("low"), F.col("start").alias("high")
-            return reduce(DataFrame.unionByName, found, contexts.filter("NOT held").select("id", *place))
+            return reduce(DataFrame.unionByName, found, contexts.filter("NOT held").select(*ends))
+        # Runs that are the same bytes around their gram are found; one of them is held against others.
+        same = ["gram", "check", "_before", "_digest"]
+        contexts = contexts.withColumn("_before", F.col("gram_at") - F.col("start")).withColumn("_digest", F.md5("bytes"))
+        copies = durable(
+            contexts.groupBy(*same).agg(
+                F.count(F.lit(1)).alias("_n"),
+                F.min_by(F.struct(*CONTEXT_COLUMNS), F.struct("id", "start")).alias("_one"),
+            ).filter("_n > 1").select(*same, "_one")
+        )
+        if not copies.isEmpty():
+            found.append(contexts.join(copies.select(*same), same, "left_semi").filter("NOT held").select(*ends))
+            alone = contexts.join(copies.select(*same), same, "left_anti").select(*CONTEXT_COLUMNS)
+            contexts = alone.unionByName(copies.select("_one.*").withColumn("held", F.lit(True)))
         cell //= 2
-        contexts = durable(_halves(contexts, length, cell))
+        contexts = durable(_halves(contexts.select(*CONTEXT_COLUMNS), length, cell))
 
 
 def _removed(texts: DataFrame, length: int) -> DataFrame:
