@@ -611,6 +611,62 @@ def test_links_of_a_key_cross_tasks(spark):
     assert {top(x) for x in parent} == {0}
 
 
+def test_windows_only_where_documents_are_alike(spark, monkeypatch):
+    """Texts that share nothing, and copies, make no rows of windows; of others only the stretches that are alike do."""
+    made, plain = [], substring_dedup.window_rows
+
+    def counted(docs, least, pairs):
+        rows = plain(docs, least, pairs)
+        made.extend((r.doc, r.at - r.before, r.at + r.after) for r in rows.collect())
+        return rows
+
+    monkeypatch.setattr(substring_dedup, "window_rows", counted)
+    docs = [(i, prose(300, 61_000 + i)) for i in range(30)]
+    docs += [(100 + i, docs[7][1]) for i in range(5)]
+    assert {r.doc_id for r in substring_dedup.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()} == {
+        7, 100, 101, 102, 103, 104,
+    }
+    assert not made
+    words_in = prose(60, 62_000).split(" ")
+    docs.append((200, f"{prose(400, 62_001)} {' '.join(words_in)} {prose(400, 62_002)}"))
+    words_in[30] += "x"
+    docs.append((201, f"{prose(150, 62_003)} {' '.join(words_in)} {prose(700, 62_004)}"))
+    rows = substring_dedup.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    classes = collections.defaultdict(set)
+    for r in rows:
+        classes[r.class_id, r.class_start_word].add(r.doc_id)
+    assert sorted(map(sorted, classes.values())) == [[7, 100, 101, 102, 103, 104], [200, 201]]
+    assert made and {d for d, _, _ in made} == {200, 201}
+    for doc, low, high in ((200, 400, 456), (201, 150, 206)):
+        assert all(low - 80 <= a and b <= high + 80 for d, a, b in made if d == doc)
+
+
+def test_runs_that_are_looked_up():
+    """Any 41 alike of 46 places in a row, apart by changed words, have a run of RUN; others may have shorter ones only."""
+    assert substring_dedup.run_length(46, 0.8) == substring_dedup.RUN
+    assert substring_dedup.run_length(46, 0.5) == 7 and substring_dedup.run_length(1, 0.8) == 1
+    spots = np.array([20, 32, 44, 200]) * substring_dedup.SPOT**2 + 11 * substring_dedup.SPOT + 11
+    text, low, high = substring_dedup.stretches(spots, np.array([0, 0, 0, 1]), np.array([100, 300]), 46, 0.2)
+    assert text.tolist() == [0] and low[0] <= 9 and 56 <= high[0] <= 70
+
+
+def test_further_rows_of_a_document_cross_tasks(spark):
+    """Every row with a key of two documents or more is linked once, to another document, also where tasks share the key."""
+    rows = [(k, d, at, 1, 1) for k, docs in ((1, 40), (2, 1), (3, 2), (4, 9)) for d in range(k, k + docs) for at in range(12)]
+    conf = {"spark.sql.execution.arrow.maxRecordsPerBatch": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        got = substring_dedup.stars(spark.createDataFrame(rows, "key long, doc long, at int, before int, after int")).collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    linked = [(r.key, r.doc, r.at) for r in got]
+    assert all(r.doc != r.to_doc for r in got) and len(set(linked)) == len(linked)
+    assert set(linked) == {r[:3] for r in rows if r[0] != 2} - {(k, k, 0) for k in (1, 3, 4)}
+
+
 def test_equal_passages_on_test_data(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     runs = collections.defaultdict(set)
