@@ -567,6 +567,13 @@ def test_parts_of_near_copies_in_another_order():
             assert any(abs(a - low) <= 5 and abs(b - high) <= 5 for a, b, *_ in found), (low, high, found)
 
 
+def test_parts_that_repeat_on_one_side():
+    """A passage that repeats one shingle is found also where the other side has few of them."""
+    few, many = np.full(15, 7, np.uint64), np.full(130, 7, np.uint64)
+    assert (0, 130) in {p[2:4] for p in substring_dedup.shared_parts(few, many, 46, 0.8)}
+    assert (0, 130) in {p[:2] for p in substring_dedup.shared_parts(many, few, 46, 0.8)}
+
+
 def test_all_places_of_a_signature(spark):
     """Every place of a passage has its windows, and each is linked."""
     text = prose(50, 8000)
