@@ -9,7 +9,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tillwise import ParquetTables, plans
+from tillwise import ParquetTables, plans, session
+from tillwise.operators import fanout, text
 from tillwise.operators.features import return_behaviour, split_by_id
 from tillwise.operators.models import (
     Clusters,
@@ -23,6 +24,7 @@ from tillwise.operators.models import (
 )
 from tillwise.operators.periods import quantity_around_price_change
 from tillwise.operators.statistics import correlation, linear_fit, variation
+from tillwise.plans import reviews
 from tillwise.sources import write_delimited
 from tillwise.sources.schemas import SCHEMAS
 
@@ -187,6 +189,34 @@ def test_q18_names_are_matched_as_substrings(spark):
     assert [tuple(r) for r in plans.q18(t).collect()] == expected
 
 
+def test_q18_does_not_move_its_whole_result(spark, monkeypatch):
+    """A sentence goes to each part of the names once, not to each store, and is not written for each either."""
+    written = []
+
+    def counted(table, by=None):
+        out = session.durable(table, by)
+        written.append(out.count())
+        return out
+
+    for module in (reviews, text, fanout):
+        monkeypatch.setattr(module, "durable", counted)
+    days = [serial("2001-05-02"), serial("2001-05-03")]
+    stores = range(1, 1001)
+    t = Tables(
+        spark,
+        store_sales=[dict(ss_sold_date_sk=d, ss_store_sk=k, ss_item_sk=1, ss_ticket_number=1, ss_net_paid=money(5)) for k in stores for d in days],
+        store=[dict(s_store_sk=k, s_store_id=str(k), s_store_name="Forest") for k in stores],
+        product_reviews=[
+            dict(pr_review_sk=1, pr_item_sk=1, pr_review_rating=1, pr_review_date="2001-05-05",
+                 pr_review_content="The forest is bad. " + " ".join(f"Number {i} is bad." for i in range(49)))
+        ],
+    )
+    found = plans.q18(t)
+    assert found.count() == 50 * 1000 and max(written) <= 1000
+    moved = found._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    assert "Exchange" not in moved and "Sort" not in moved
+
+
 def test_linear_fit_of_one_day_is_null(spark):
     df = spark.createDataFrame(
         [(1, 10, money(1)), (1, 20, money(3)), (1, 30, money(5)), (2, 10, money(9))],
